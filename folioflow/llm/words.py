@@ -38,10 +38,15 @@ class Powers:
     def __init__(self, base: int):
         self.base, self.inverse, self.n = base, pow(base, -1, 1 << 64), 0
 
+    def _run(self, factor: int) -> np.ndarray:
+        out = np.full(self.n, factor, np.uint64)
+        out[0] = 1
+        return np.cumprod(out)
+
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > self.n:
             self.n = max(n, 1 << 12)
-            self.up, self.down = (np.cumprod(np.concatenate([[1], np.full(self.n - 1, b, np.uint64)]).astype(np.uint64)) for b in (self.base, self.inverse))
+            self.up, self.down = self._run(self.base), self._run(self.inverse)
         return self.up[:n], self.down[:n]
 
 
@@ -101,18 +106,28 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of every word."""
-        out = np.empty(len(self.starts), np.uint64)
-        i = 0
-        while i < len(out):
-            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + PIECE, "right")))
-            o = self.starts[i]
-            piece = self.data[o : self.ends[j - 1]]
-            up, down = _WORD.get(len(piece))
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[piece] * up)])
-            s, e = self.starts[i:j] - o, self.ends[i:j] - o
-            out[i:j] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
-            i = j
-        return out
+        return span_hashes(self.data, self.starts, self.ends)
+
+    def sums(self, table: np.ndarray) -> np.ndarray:
+        """Per document, the sum of ``table[byte]`` over its bytes."""
+        total = np.concatenate([[0], np.cumsum(table[self.data], dtype=np.int64)])
+        return total[self.bounds[1:]] - total[self.bounds[:-1]]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every span of bytes; spans are in order and disjoint."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(out):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
+        o = starts[i]
+        piece = data[o : ends[j - 1]]
+        up, down = _WORD.get(len(piece) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[piece] * up[:-1])])
+        s, e = starts[i:j] - o, ends[i:j] - o
+        out[i:j] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        i = j
+    return out
 
 
 def windows(words: np.ndarray, size: int, lane: int = 0) -> np.ndarray:
