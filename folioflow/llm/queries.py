@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert, html_paths, lengths, mixing, outliers, subword
+from . import hilbert, html_paths, lengths, mixing, outliers, substrings, subword
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_mixing_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op4_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.length_histogram(lengths.token_lengths(table(spark, sf_dir, "documents")))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_path_text": op1_tag_path_text,
     "op2_mcd_outliers": op2_mcd_outliers,
     "op3_mixing_schedule": op3_mixing_schedule,
+    "op4_count_min_substrings": op4_count_min_substrings,
     "op6_token_lengths": op6_token_lengths,
     "op7_hilbert_sharding": op7_hilbert_sharding,
     "op10_subword_quality": op10_subword_quality,
