@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert, html_paths, lengths, mixing, outliers, substrings, subword
+from . import hilbert, html_paths, lengths, mixing, ngram_join, outliers, substrings, subword
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("fp")
+
+
 def op6_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.length_histogram(lengths.token_lengths(table(spark, sf_dir, "documents")))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mcd_outliers": op2_mcd_outliers,
     "op3_mixing_schedule": op3_mixing_schedule,
     "op4_count_min_substrings": op4_count_min_substrings,
+    "op5_adaptive_prefix_join": op5_adaptive_prefix_join,
     "op6_token_lengths": op6_token_lengths,
     "op7_hilbert_sharding": op7_hilbert_sharding,
     "op10_subword_quality": op10_subword_quality,
