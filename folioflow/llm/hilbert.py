@@ -146,7 +146,15 @@ def shards(docs: DataFrame, n_shards: int = 40, law: str = "rows", keep: list[st
     )
 
 
+def sharded(docs: DataFrame, n_shards: int = 40, law: str = "rows") -> DataFrame:
+    """The documents in curve order with their shard and slot; columns of these
+    names in the input give way."""
+    made = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve"]
+    keep = [c for c in docs.columns if c not in made]
+    return shards(docs, n_shards, law, keep=keep).select(*keep, "size", "shard", "slot", "curve")
+
+
 def write_shards(docs: DataFrame, path: str, n_shards: int = 40, law: str = "rows") -> None:
     """Write the documents as one folder per shard, in curve order."""
-    out = shards(docs, n_shards, law, keep=docs.columns)
+    out = sharded(docs, n_shards, law)
     out.repartitionByRange(n_shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -80,12 +80,12 @@ class Mixture:
 
 
 def mixture(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, block_words: int = 512, seed: str = "mix") -> Mixture:
-    spark = docs.sparkSession
     order = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":" + seed)).cast("binary")), 1, 15), 16, 10).cast("long")
     sized = docs.select(
         "doc_id",
         F.coalesce("source", F.lit("")).alias("name"),
         F.col("source").isNull().alias("empty"),
+        F.xxhash64(F.col("text").isNull(), "text").alias("key"),
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         order.alias("at"),
     ).withColumn("bucket", F.shiftright("at", 60 - BUCKET_BITS))
@@ -99,7 +99,7 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     placed = (
         sized.join(buckets, ["empty", "name", "bucket"])
         .withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .select("doc_id", "size", "sid", "source_size", "target", "want", "start")
+        .select("doc_id", "key", "size", "sid", "source_size", "target", "want", "start")
     )
     placed = materialize(placed, "placed")
 
@@ -143,3 +143,16 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target and the words taken, per document."""
     return mixture(docs, **options).taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
+def resampled(docs: DataFrame, **options) -> DataFrame:
+    """The documents as often as the mix takes them, rounded to whole texts; all
+    columns as they are.  Texts without words are in no mix."""
+    taken = mixture(docs, **options).taken().where("size > 0")
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5)
+    keys = ["__ff_id", "__ff_no", "__ff_key"]
+    mixed_in = taken.groupBy(F.coalesce("doc_id", F.lit(0)).alias("__ff_id"), F.col("doc_id").isNull().alias("__ff_no"), F.col("key").alias("__ff_key"), "sid").agg(F.sum(copies).alias("__ff_n"))
+    mixed_in = mixed_in.groupBy(*keys).agg(F.sum("__ff_n").alias("__ff_n")).where("__ff_n > 0")
+    keyed = docs.withColumns({"__ff_id": F.coalesce("doc_id", F.lit(0)), "__ff_no": F.col("doc_id").isNull(), "__ff_key": F.xxhash64(F.col("text").isNull(), "text")})
+    once = keyed.dropDuplicates(keys).join(mixed_in, keys)
+    return once.withColumn("__ff_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__ff_n")))).select(*docs.columns)

@@ -81,8 +81,8 @@ def fingerprints(value: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sketch slices (slice >= 0) and a row (slice -1) for each document."""
     sketch, part = Counts(BITS), TaskContext.get().partitionId()
-    names = ["part", "slice", "doc_id", "n", "fp", "data"]
-    types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    names = ["part", "slice", "doc_id", "key", "n", "fp", "data"]
+    types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     any_text = False
     for whole in batches:
         for batch in text_batches(whole):
@@ -93,10 +93,10 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 any_text = True
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, part, np.int32)), pa.array(np.full(k, -1, np.int32)), batch.column("doc_id"), pa.array(np.diff(first).astype(np.int64)), pa.array(fp), pa.nulls(k, pa.binary())], names
+                [pa.array(np.full(k, part, np.int32)), pa.array(np.full(k, -1, np.int32)), batch.column("doc_id"), batch.column("key"), pa.array(np.diff(first).astype(np.int64)), pa.array(fp), pa.nulls(k, pa.binary())], names
             )
     if any_text:
-        rows = [(part, k, None, None, None, d) for k, d in sketch.slices()]
+        rows = [(part, k, None, None, None, None, d) for k, d in sketch.slices()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
 
@@ -224,11 +224,11 @@ class Join:
     """Survey, prefixes and lists of one table of (doc_id, text)."""
 
     def __init__(self, docs: DataFrame):
-        self.docs = docs.select("doc_id", "text")
+        self.docs = docs.select("doc_id", "text", F.xxhash64(F.col("text").isNull(), "text").alias("key"))
         self.spark = docs.sparkSession
-        survey = materialize(self.docs.mapInArrow(_survey, "part int, slice int, doc_id long, n long, fp long, data binary"), "survey")
-        #: a row for each document: doc_id, n (shingles), fp (of its set)
-        self.documents = survey.where("slice = -1").select("doc_id", "n", "fp")
+        survey = materialize(self.docs.mapInArrow(_survey, "part int, slice int, doc_id long, key long, n long, fp long, data binary"), "survey")
+        #: a row for each document: doc_id, key (of its text), n (shingles), fp (of its set)
+        self.documents = survey.where("slice = -1").select("doc_id", "key", "n", "fp")
         estimates = Estimates(merged(survey.where("slice >= 0").select("part", "slice", "data"), Counts), BITS)
         total = self.documents.agg(F.sum("n")).first()[0] or 0
         bits = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) - 1, total // (4 * PER_BUCKET)).bit_length()
@@ -281,12 +281,24 @@ class Join:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, fp and component_id of every document."""
+    """doc_id, n_shingles and component_id of every document; key (of its text)
+    and root (of its component) tell documents and components apart."""
     join = Join(docs)
     roots = materialize(components(join.links()), "roots")
     nodes = join.documents.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     nodes = nodes.withColumn("root", F.coalesce("root", "fp"))
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = nodes.select("fp", "root").join(named, "root").select("fp", "component_id")
+    names = nodes.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
     out = join.documents.join(names, "fp", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "fp", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    alone = F.col("n") == 0
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "key", F.when(alone, F.col("key")).otherwise(F.col("root")).alias("root"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest id; all columns
+    as they are.  Of repeated rows one stays; documents without shingles stay."""
+    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = found.groupBy("root", "doc_id").agg(F.min("key").alias("__ff_key")).select(F.coalesce("doc_id", F.lit(0)).alias("__ff_id"), F.col("doc_id").isNull().alias("__ff_no"), "__ff_key").distinct()
+    keys = ["__ff_id", "__ff_no", "__ff_key"]
+    keyed = docs.withColumns({"__ff_id": F.coalesce("doc_id", F.lit(0)), "__ff_no": F.col("doc_id").isNull(), "__ff_key": F.xxhash64(F.col("text").isNull(), "text")})
+    return keyed.join(keep, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert, html_paths, lengths, mixing, ngram_join, outliers, substrings, subword
+from . import decontamination, hilbert, html_paths, lengths, lines, mixing, ngram_join, outliers, substrings, subword
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +30,7 @@ def op4_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("fp")
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("key", "root")
 
 
 def op6_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,14 @@ def op7_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shards(table(spark, sf_dir, "documents")).drop("curve")
 
 
+def op8_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+def op9_site_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_boilerplate(table(spark, sf_dir, "documents"))
+
+
 def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,5 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_adaptive_prefix_join": op5_adaptive_prefix_join,
     "op6_token_lengths": op6_token_lengths,
     "op7_hilbert_sharding": op7_hilbert_sharding,
+    "op8_simhash_decontamination": op8_simhash_decontamination,
+    "op9_site_spread_lines": op9_site_spread_lines,
     "op10_subword_quality": op10_subword_quality,
 }

@@ -190,3 +190,9 @@ def classified(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     score = scorer(train(docs, labels, **options))
     out = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The documents that the classifier does not reject; all columns as they are."""
+    score = scorer(train(docs, labels, **options))
+    return docs.withColumn("__ff_score", score("text")).where("__ff_score >= 0.5").select(*docs.columns)
