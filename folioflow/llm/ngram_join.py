@@ -9,11 +9,15 @@ to scan, plus candidates to verify, which fall as L grows.  Two documents are a
 candidate pair if they share ``min(L1, L2)`` prefix shingles, and candidates are
 verified on their whole sets (100 * intersection >= 80 * union).
 
-Components need no list of all pairs inside a group of copies.  Each list of
-documents under one shingle first links its members to one of them, a few
-rounds with other choices; what verifies is merged.  Only then are all pairs
-taken, between members of *different* components, so no link between components is
-lost and a group of thousands of copies costs links in proportion to its size.
+Candidates are not verified pair by pair: each set would travel once for every
+partner.  Pairs are taken from lists (documents under one prefix shingle) of up to
+``SHORT`` members and counted against L; longer lists, where a group of copies or
+a common passage meets, only tie their members together, and count in full towards
+the L of every pair.  What candidates connect is a cluster; a cluster is cut into
+blocks of ``BLOCK`` documents and each pair of blocks is one task, which gets whole
+sets and multiplies membership matrices.  It tests every pair of its documents,
+so all links are found, but returns only a spanning forest of them: a group of
+thousands of copies costs rows in proportion to its size.
 
 Nulls: a null or empty text has an empty set and is linked with nothing; a null
 doc_id joins its component but never names it (its component_id is null if all
@@ -41,7 +45,9 @@ BITS = 21
 NODE_BITS = 24
 MOST_SHARED = 6
 VERIFY_COST = 8.0
-ROUNDS = 3
+SHORT = 32
+BLOCK = 1024
+TOKENS = 4096
 PER_BUCKET = 1_500_000
 ENTRY = np.dtype([("t", "<u8"), ("fp", "<i8"), ("n", "<u4"), ("l", "u1")])
 
@@ -166,8 +172,9 @@ def _lists(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     new[1:] = (e["t"][1:] != e["t"][:-1]) | (e["fp"][1:] != e["fp"][:-1])
     e = e[new]
     group = np.concatenate([[0], np.cumsum(e["t"][1:] != e["t"][:-1])]) if len(e) else np.zeros(0, np.int64)
-    e = e[np.bincount(group)[group] > 1] if len(e) else e
-    return pd.DataFrame({"t": e["t"].view(np.int64), "fp": e["fp"], "n": e["n"].astype(np.int64), "l": e["l"].astype(np.int32)})
+    size = np.bincount(group)[group] if len(e) else group
+    e, size = e[size > 1], size[size > 1]
+    return pd.DataFrame({"t": e["t"].view(np.int64), "fp": e["fp"], "n": e["n"].astype(np.int64), "l": e["l"].astype(np.int32), "size": size})
 
 
 def _sets(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
@@ -181,16 +188,50 @@ def _sets(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(fp[docs]), pa.array([value[first[i] : first[i + 1]].tobytes() for i in docs], pa.binary())], ["fp", "set"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        linked = []
-        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = np.concatenate([a, b])
-            both.sort()
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            linked.append(100 * shared >= 80 * (len(a) + len(b) - shared))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
+def linked_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of indices that connect what the links among the sets connect.
+
+    Intersections of all pairs at once: shingles that two sets have are columns of
+    a 0/1 matrix, taken ``TOKENS`` columns at a time."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets], np.float32)
+    owner = np.repeat(np.arange(n), size.astype(np.int64))
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column, owner = (np.cumsum(shared) - 1)[column][shared[column]], owner[shared[column]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((n, n), np.float32)
+    for start in range(0, int(shared.sum()), TOKENS):
+        a, b = np.searchsorted(column, [start, start + TOKENS])
+        part = np.zeros((n, TOKENS), np.float32)
+        part[owner[a:b], column[a:b] - start] = 1
+        both += part @ part.T
+    linked = 100 * both >= 80 * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(linked, False)
+    forest, fresh = [], np.ones(n, bool)
+    for root in range(n):
+        if not fresh[root]:
+            continue
+        fresh[root] = False
+        stack = [root]
+        while stack:
+            x = stack.pop()
+            new = np.flatnonzero(linked[x] & fresh)
+            fresh[new] = False
+            forest += [(x, int(y)) for y in new]
+            stack += new.tolist()
+    return forest
+
+
+def _tile(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of one pair of blocks, or of the small clusters of one bin."""
+    out = []
+    for _, cluster in rows.groupby("root", sort=False):
+        cluster = cluster.drop_duplicates("fp").sort_values("fp")
+        fp = cluster["fp"].to_numpy()
+        out += [(int(fp[x]), int(fp[y])) for x, y in linked_forest([np.frombuffer(s, np.uint64) for s in cluster["set"]])]
+    return pd.DataFrame(out, columns=["a", "b"])
 
 
 class _Members:
@@ -234,50 +275,46 @@ class Join:
         bits = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) - 1, total // (4 * PER_BUCKET)).bit_length()
         shipped = self.spark.sparkContext.broadcast(estimates)
         sent = self.docs.select("text").mapInArrow(lambda it: _emit_prefixes(it, shipped.value, bits), "bucket long, n long, data binary")
-        lists = sent.groupBy("bucket").applyInPandas(_lists, "t long, fp long, n long, l int")
+        lists = sent.groupBy("bucket").applyInPandas(_lists, "t long, fp long, n long, l int, size long")
         self.lists = materialize(lists, "lists")
 
     def links(self) -> DataFrame:
         """Verified links (a, b) that connect exactly what all links connect."""
-        wanted = _Members(merged(self.lists.select("fp").distinct().mapInArrow(_note_nodes, "part int, slice int, data binary"), Repeats))
+        clusters = materialize(components(self._candidates()), "clusters")
+        wanted = _Members(merged(clusters.select(F.col("node").alias("fp")).mapInArrow(_note_nodes, "part int, slice int, data binary"), Repeats))
         shipped = self.spark.sparkContext.broadcast(wanted)
-        sets = self.docs.select("text").mapInArrow(lambda it: _sets(it, shipped.value), "fp long, set binary")
-        self.sets = materialize(sets.dropDuplicates(["fp"]), "sets")
-        lists = self.lists.withColumn("label", F.col("fp"))
-        found: DataFrame | None = None
-        for k in range(ROUNDS):
-            new = self._verified(self._stars(lists, k))
-            found = materialize(new if found is None else found.union(new), "links")
-            lists = self._relabel(components(found))
-        return found.union(self._verified(self._pairs(lists)))
-
-    def _relabel(self, roots: DataFrame) -> DataFrame:
-        named = roots.select(F.col("node").alias("fp"), F.col("root").alias("label"))
-        out = self.lists.join(named, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-        several = out.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("t")
-        return materialize(out.join(several, "t", "left_semi"), "open")
-
-    def _stars(self, lists: DataFrame, k: int) -> DataFrame:
-        """Each member with one of its list, in another component; each node
-        keeps the partner with which it shares most."""
-        order = F.xxhash64(F.lit(k), "fp")
-        hubs = lists.groupBy("t").agg(F.min(F.struct(order, "fp", "n", "label")).alias("h"))
-        pairs = lists.join(hubs, "t").where((F.col("label") != F.col("h.label")) & _sized(F.col("n"), F.col("h.n")))
-        counted = pairs.groupBy(F.col("fp").alias("a"), F.col("h.fp").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-        return counted.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-
-    def _pairs(self, lists: DataFrame) -> DataFrame:
-        """All candidate pairs between different components, shared enough."""
-        x = lists.select("t", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("l").alias("la"), F.col("label").alias("xa"))
-        y = lists.select("t", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("l").alias("lb"), F.col("label").alias("xb"))
-        pairs = x.join(y, "t").where((F.col("a") < F.col("b")) & (F.col("xa") != F.col("xb")) & _sized(F.col("na"), F.col("nb")))
+        sets = self.docs.select("text").mapInArrow(lambda it: _sets(it, shipped.value), "fp long, set binary").dropDuplicates(["fp"])
+        n_blocks = F.ceil(F.col("m") / BLOCK)
+        sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m")).select("root", n_blocks.alias("blocks"))
+        bins = 1 + clusters.count() // BLOCK
+        nodes = clusters.join(sizes, "root").select(F.col("node").alias("fp"), "root", "blocks")
+        nodes = nodes.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+        # a node meets every block of its cluster once; clusters of one block share tasks
+        tiles = nodes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.col("root"))
+        tiles = tiles.select("fp", "root", (F.col("blocks") == 1).alias("small"), task.alias("task"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        met = tiles.join(sets, "fp")
+        return met.groupBy("small", "task", "i", "j").applyInPandas(_tile, "a long, b long")
+
+    def _candidates(self) -> DataFrame:
+        """Edges (a, b): pairs that share enough prefix shingles, and a star over
+        the members of every long list."""
+        long = self.lists.where(F.col("size") > SHORT)
+        held = long.groupBy("fp").agg(F.count(F.lit(1)).alias("held"))
+        short = self.lists.where(F.col("size") <= SHORT)
+        x = short.select("t", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("l").alias("la"))
+        y = short.select("t", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("l").alias("lb"))
+        pairs = x.join(y, "t").where((F.col("a") < F.col("b")) & _sized(F.col("na"), F.col("nb")))
         counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("la", "lb")).alias("least"))
-        return counted.where("shared >= least").select("a", "b")
-
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        x = self.sets.select(F.col("fp").alias("a"), F.col("set").alias("x"))
-        y = self.sets.select(F.col("fp").alias("b"), F.col("set").alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long")
+        counted = counted.join(held.select(F.col("fp").alias("a"), F.col("held").alias("ha")), "a", "left").join(held.select(F.col("fp").alias("b"), F.col("held").alias("hb")), "b", "left")
+        most = F.col("shared") + F.coalesce(F.least("ha", "hb"), F.lit(0))
+        near = counted.where(F.when(F.col("ha").isNull() | F.col("hb").isNull(), F.col("shared")).otherwise(most) >= F.col("least")).select("a", "b")
+        # a pair that meets in long lists only has as many of them as the smaller L of the two
+        fewest = long.agg(F.min("l").alias("fewest"))
+        able = long.join(held, "fp").join(F.broadcast(fewest)).where(F.col("held") >= F.least("l", "fewest"))
+        hubs = able.groupBy("t").agg(F.min("fp").alias("b"))
+        stars = able.join(hubs, "t").select(F.col("fp").alias("a"), "b").where("a <> b").distinct()
+        return near.unionByName(stars)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
