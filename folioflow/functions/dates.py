@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Month names and number words.
@@ -52,42 +52,46 @@ _ENACTED = r"di(?:undang|tetap)kan"
 _DAY = r"tanggal\s+(\d{1,2}\s+[A-Za-z]+\s+\d{4})"
 
 
-def effective_date(text: Column, published: Column) -> Column:
-    """date_type, effective_date, confidence, delay_days and condition.
+def effective_dates(docs: DataFrame, text: str = "text", published: str = "published") -> DataFrame:
+    """Adds date_type, effective_date, confidence, delay_days and condition.
 
     Looked for in the 500 characters from the first clause on entry into force,
-    else in the last 3000; the first class that matches decides."""
-    at = F.regexp_instr(text, F.lit(r"(?i)(?:undang[- ]?undang|peraturan|keputusan|instruksi)\s+ini\s+mulai\s+berlaku"))
-    s = F.when(at > 0, F.substr(text, at, F.lit(500))).otherwise(F.substring(text, -3000, 3000))
-    immediate = s.rlike(rf"(?i)berlaku\s+(?:pada|sejak)\s+tanggal\s+{_ENACTED}")
-    specific = F.regexp_extract(s, rf"(?i)mulai\s+berlaku\s+(?:pada\s+)?{_DAY}", 1)
+    else in the last 3000; the first class that matches decides.  The steps are
+    columns of their own, so every pattern runs once a row."""
+    c = F.col(text)
+    at = F.regexp_instr(c, F.lit(r"(?i)(?:undang[- ]?undang|peraturan|keputusan|instruksi)\s+ini\s+mulai\s+berlaku"))
     tail = rf"\s*(hari|bulan)\s+(?:sejak|setelah)\s+(?:tanggal\s+)?{_ENACTED}"
     forms = [rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?(\d+)\s*\([^)]+\){tail}", rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?(\d+){tail}", rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?([\w\s]+?){tail}"]
-    delayed = F.coalesce(*[F.when(s.rlike(p), F.struct(F.regexp_extract(s, p, 1).alias("n"), F.regexp_extract(s, p, 2).alias("unit"))) for p in forms])
-    days = delay_days(delayed["n"], delayed["unit"])
-    back = F.regexp_extract(s, rf"(?i)mulai\s+berlaku\s+(?:surut\s+)?(?:sejak|pada)\s+{_DAY}", 1)
     after, when = rf"(?i)mulai\s+berlaku\s+setelah\s+(.+?)\s+{_ENACTED}", r"(?i)mulai\s+berlaku\s+(?:pada\s+)?(?:saat|ketika)\s+(.+)"
-    condition = F.when(s.rlike(after), F.trim(F.regexp_extract(s, after, 1))).when(s.rlike(when), F.trim(F.regexp_extract(s, when, 1)))
-
-    def result(kind: str, date: Column, confidence: float, n: Column | None = None, c: Column | None = None) -> Column:
-        none = F.lit(None)
-        return F.struct(
-            F.lit(kind).alias("date_type"),
-            date.cast("string").alias("effective_date"),
-            F.lit(confidence).alias("confidence"),
-            (n if n is not None else none).cast("int").alias("delay_days"),
-            (c if c is not None else none).cast("string").alias("condition"),
-        )
-
-    return (
-        F.when(F.coalesce(text, F.lit("")) == "", result("unknown", F.lit(None), 0.0))
-        .when(immediate, result("immediate", published, 0.95))
-        .when(specific != "", result("specific_date", iso_date(specific, True), 0.90))
-        .when(delayed.isNotNull(), result("delayed", delayed_date(published, days), 0.85, days))
-        .when(back != "", result("retroactive", iso_date(back, True), 0.85))
-        .when(condition.isNotNull(), result("conditional", F.lit(None), 0.70, None, condition))
-        .otherwise(result("unknown", F.lit(None), 0.0))
+    s = F.col("__s")
+    steps = docs.withColumn("__at", at).withColumn("__s", F.when(F.col("__at") > 0, F.substr(c, F.col("__at"), F.lit(500))).otherwise(F.substring(c, -3000, 3000)))
+    steps = steps.withColumns(
+        {
+            "__now": s.rlike(rf"(?i)berlaku\s+(?:pada|sejak)\s+tanggal\s+{_ENACTED}"),
+            "__day": F.regexp_extract(s, rf"(?i)mulai\s+berlaku\s+(?:pada\s+)?{_DAY}", 1),
+            "__back": F.regexp_extract(s, rf"(?i)mulai\s+berlaku\s+(?:surut\s+)?(?:sejak|pada)\s+{_DAY}", 1),
+            "__form": F.coalesce(*[F.when(s.rlike(p), F.lit(i)) for i, p in enumerate(forms)]),
+            "__if": F.when(s.rlike(after), F.trim(F.regexp_extract(s, after, 1))).when(s.rlike(when), F.trim(F.regexp_extract(s, when, 1))),
+        }
     )
+    part = lambda g: F.coalesce(*[F.when(F.col("__form") == i, F.regexp_extract(s, p, g)) for i, p in enumerate(forms)])
+    steps = steps.withColumns({"__n": part(1), "__unit": part(2)})
+    steps = steps.withColumn("__days", delay_days(F.col("__n"), F.col("__unit")))
+    kind = (
+        F.when(F.coalesce(c, F.lit("")) == "", "unknown")
+        .when(F.col("__now"), "immediate")
+        .when(F.col("__day") != "", "specific_date")
+        .when(F.col("__form").isNotNull(), "delayed")
+        .when(F.col("__back") != "", "retroactive")
+        .when(F.col("__if").isNotNull(), "conditional")
+        .otherwise("unknown")
+    )
+    k = F.col("date_type")
+    date = F.when(k == "immediate", F.col(published)).when(k == "specific_date", iso_date(F.col("__day"), True)).when(k == "delayed", delayed_date(F.col(published), F.col("__days"))).when(k == "retroactive", iso_date(F.col("__back"), True))
+    sure = F.when(k == "immediate", 0.95).when(k == "specific_date", 0.90).when(k.isin("delayed", "retroactive"), 0.85).when(k == "conditional", 0.70).otherwise(0.0)
+    steps = steps.withColumn("date_type", kind)
+    steps = steps.withColumns({"effective_date": date, "confidence": sure, "delay_days": F.when(k == "delayed", F.col("__days")), "condition": F.when(k == "conditional", F.col("__if"))})
+    return steps.drop("__at", "__s", "__now", "__day", "__back", "__form", "__if", "__n", "__unit", "__days")
 
 
 def is_recent(at: Column, now: Column, minutes: int = 15) -> Column:

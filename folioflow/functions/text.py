@@ -14,7 +14,7 @@ import unicodedata
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .vectorized import vectorized
@@ -107,6 +107,7 @@ OLD_SPELLING = [("tj", "c"), ("dj", "j"), ("nj", "ny"), ("sj", "sy"), ("ch", "kh
 CORE_WORDS = set(
     "indonesia republik presiden pemerintah negara menteri gubernur bupati walikota daerah undang peraturan keputusan instruksi penetapan perpres perppu permen keppres inpres pasal ayat huruf angka bab bagian paragraf ketentuan umum penutup peralihan menimbang mengingat memutuskan menetapkan menyatakan memerintahkan mengatur melarang tentang dengan dalam untuk bahwa sebagai terhadap lembaga badan nomor tahun salinan lampiran penjelasan perubahan tuhan rahmat berkat atas adalah dapat harus wajib tidak atau dan setiap semua lain tersebut sebagaimana".split()
 )
+COMMON_ERRORS = {"lavv": "law", "REPUBLIC": "REPUBLIK", "UNDANGUNDANG": "UNDANG-UNDANG"}
 DIGIT_LETTERS = {"0": "O", "1": "I", "3": "E", "4": "A", "5": "S", "7": "T", "8": "B"}
 SPECIAL_LETTERS = {"!": "I", "|": "L", "$": "S", "@": "A"}
 
@@ -202,12 +203,10 @@ def drop_noise(c: Column) -> Column:
 
 def regex_corrections(c: Column) -> Column:
     """Years, zeroes, chapter numerals, dashes and spacing."""
-    bab = F.regexp_replace(c, r"(?i)\bBAB\s+([1|!]+)\b", "BAB \u0001$1\u0002")
-    for ch in "1|!":  # inside the marks every stand-in becomes an I
-        bab = F.regexp_replace(bab, f"(?<=\u0001)([I]*){re.escape(ch)}(?=[1|!I]*\u0002)", "$1I")
-    for _ in range(3):
-        bab = F.regexp_replace(bab, r"(\x01I*)[1|!]", "$1I")
-    return fold(F.regexp_replace(bab, r"[\x01\x02]", ""), REGEX_CORRECTIONS)
+    # one stand-in for an I after another: each step turns the first that is left
+    for _ in range(8):
+        c = F.regexp_replace(c, r"(?i)\bBAB\s+(I*)[1|!](?=[1|!]*\b)", "BAB $1I")
+    return fold(c, REGEX_CORRECTIONS)
 
 
 def punctuation_parts(word: Column) -> Column:
@@ -355,6 +354,20 @@ def word_corrector(dictionary: dict[str, str] | None = None, old: dict[str, str]
     return correct
 
 
+def detected_errors(docs: DataFrame, key: str, dictionary: dict[str, str] | None = None) -> DataFrame:
+    """key, at, word, corrected and kind of every word a rule would change,
+    without changing the text; distinct words are judged once."""
+    d = {k.lower(): v for k, v in (dictionary or {}).items()}
+
+    @F.pandas_udf("struct<corrected:string,kind:string>")
+    def judge(words: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([correct_word(_parts(w)[1], d, {}) if _parts(w)[1] else ("", "") for w in words], columns=["corrected", "kind"])
+
+    words = docs.select(key, F.posexplode(F.split(F.trim("text"), r"\s+")).alias("at", "word"))
+    verdicts = words.select("word").distinct().withColumn("v", judge("word"))
+    return words.join(verdicts, "word").where("v.kind <> ''").select(key, "at", "word", "v.*")
+
+
 @vectorized("string")
 def nfkc(texts: pd.Series) -> pd.Series:
     """NFKC without soft hyphens and zero-width marks, plain quotes and dashes,

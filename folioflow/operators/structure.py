@@ -24,6 +24,11 @@ _POINT = re.compile(r"([a-z])\.?\s+(.+)")
 _SUBPOINT = re.compile(r"(\d+)\.?\s+(.+)")
 
 
+def _upto(marks: list[re.Match], text: str) -> list[tuple[re.Match, int]]:
+    """Each mark with the place where the next one (or the text's end) is."""
+    return list(zip(marks, [*[m.start() for m in marks[1:]], len(text)][: len(marks)], strict=True))
+
+
 def _items(lines: list[str], pattern: re.Pattern) -> list[list[str]]:
     """Marked lines, each with the lines that continue it."""
     out: list[list[str]] = []
@@ -47,7 +52,7 @@ def _points(text: str) -> list[dict]:
 def _article(number: str, text: str) -> dict:
     marks = list(_PARAGRAPH.finditer(text))
     paragraphs = []
-    for m, after in zip(marks, [*[x.start() for x in marks[1:]], len(text)], strict=True):
+    for m, after in _upto(marks, text):
         body = text[m.end() : after].strip()
         paragraphs.append({"number": int(m[1]), "text": body, "points": _points(body)})
     if not marks and (points := _points(text)):
@@ -58,7 +63,7 @@ def _article(number: str, text: str) -> dict:
 def _articles(text: str) -> list[dict]:
     marks = list(_ARTICLE.finditer(text))
     out = []
-    for m, after in zip(marks, [*[x.start() for x in marks[1:]], len(text)], strict=True):
+    for m, after in _upto(marks, text):
         body = text[m.end() : after]
         stop = _STOP.search(body)
         out.append(_article(m[1], (body[: stop.start()] if stop else body).strip()))
@@ -71,7 +76,7 @@ def parse(text: str | None) -> dict:
     if not text or len(text.strip()) < 50:
         return {"chapters": [], "articles": [], "error": "too short"}
     marks = list(_CHAPTER.finditer(text))
-    chapters = [{"number": m[1].upper(), "title": m[2].strip(), "articles": _articles(text[m.end() : after])} for m, after in zip(marks, [*[x.start() for x in marks[1:]], len(text)], strict=True)]
+    chapters = [{"number": m[1].upper(), "title": m[2].strip(), "articles": _articles(text[m.end() : after])} for m, after in _upto(marks, text)]
     return {"chapters": chapters, "articles": _articles(text[: marks[0].start()] if marks else text), "error": None}
 
 

@@ -150,8 +150,7 @@ def _(s, d):
 
 @query("f37_detected_errors")
 def _(s, d):
-    found = prose(s).select("slug", F.posexplode(F.split("text", r"\s+")).alias("at", "w")).where(F.col("w").rlike(r"[A-Za-z]") & F.col("w").rlike(r"[A-Za-z][0-9]|[0-9][A-Za-z]"))
-    return found.withColumn("kind", F.lit("digit_in_word"))
+    return text.detected_errors(s.createDataFrame([("a", "PRES1DEN djalan undarn bab"), ("b", "REPUBLIK")], "slug string, text string"), "slug")
 
 
 @query("f40_slugify", r"select part.p_partkey, trim(regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9\s-]', '', 'g'), '[\s-]+', '-', 'g'), '-') as slug from part")
@@ -182,9 +181,9 @@ def _(s, d):
     return a.join(b, "n_regionkey").where("a < b").select("a", "b", text.bounded_levenshtein(F.col("x"), F.col("y"), 5).alias("distance"))
 
 
-@query("f46_error_rate", "select item_id, levenshtein(left(text, 60), left(upper(text), 60))::double / length(left(text, 60)) as cer from benchmark where levenshtein(left(text, 60), left(upper(text), 60)) <= 60")
+@query("f46_error_rate", "select item_id, levenshtein(a, upper(a))::double / length(a) as cer from (select item_id, left(regexp_replace(text, '[^a-zA-Z ]', '', 'g'), 60) as a from benchmark)")
 def _(s, d):
-    a = F.substring("text", 1, 60)
+    a = F.substring(F.regexp_replace("text", "[^a-zA-Z ]", ""), 1, 60)
     return table(s, d, "benchmark").select("item_id", text.character_error_rate(a, F.upper(a), 60).alias("cer"))
 
 
@@ -229,7 +228,7 @@ def _(s, d):
 
 @query("d5_effective_dates")
 def _(s, d):
-    return prose(s).select("slug", dates.effective_date(F.col("text"), F.col("published")).alias("e")).select("slug", "e.*")
+    return dates.effective_dates(prose(s)).drop("text", "published")
 
 
 @query("d6_recency", "select event_id, ts >= (select max(ts) from events) - interval 15 minutes as recent from events")
@@ -241,7 +240,7 @@ def _(s, d):
 
 @query("d7_rate_eta", "with r as (select event_type, count(*) as done, epoch(max(ts)) - epoch(min(ts)) as seconds from events group by 1) select event_type, done, round(done / (seconds / 3600), 6) as per_hour, round((20000 - done) / (done / (seconds / 3600)), 6) as eta_hours from r")
 def _(s, d):
-    r = table(s, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("done"), ((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6).alias("seconds"))
+    r = table(s, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("done"), ((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 1e6).alias("seconds"))
     rate = F.col("done") / (F.col("seconds") / 3600)
     return r.select("event_type", "done", F.round(rate, 6).alias("per_hour"), F.round((20000 - F.col("done")) / rate, 6).alias("eta_hours"))
 
@@ -467,7 +466,7 @@ def _(s, d):
     q = counts.writeStream.outputMode("update").foreachBatch(progress.idempotent_append(f"{out}/rows")).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     rows = s.read.parquet(f"{out}/rows/batch=*")
-    return rows.groupBy("start", "event_type").agg(F.max_by("n", "batch_id").alias("n"))
+    return rows.groupBy(F.col("start").cast("timestamp_ntz").alias("start"), "event_type").agg(F.max_by("n", "batch_id").alias("n"))
 
 
 @query("st8_health", "with l as (select user_id, max(ts) as last, max_by(event_type, (ts, event_id)) as kind from events group by 1), m as (select max(ts) as now from events) select user_id, case when epoch(now) - epoch(last) > 600 then 'stalled' when epoch(now) - epoch(last) > 300 then 'warning' else 'healthy' end as health from l, m")
@@ -475,7 +474,7 @@ def _(s, d):
     e = table(s, d, "events")
     l = e.groupBy("user_id").agg(F.max("ts").alias("last"))
     now = F.broadcast(e.agg(F.max("ts").alias("now")))
-    idle = (F.unix_micros("now") - F.unix_micros("last")) / 1e6
+    idle = (F.unix_micros(F.col("now").cast("timestamp")) - F.unix_micros(F.col("last").cast("timestamp"))) / 1e6
     return l.join(now).select("user_id", progress.health_of(idle, F.lit(0)).alias("health"))
 
 

@@ -16,7 +16,11 @@ from pyspark.sql.types import StructType
 
 
 def read_events(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    # a stream source is a folder: one file of it is named by a filter
+    rows = source.option("pathGlobFilter", name).parquet(folder) if name.endswith(".parquet") else source.parquet(path)
+    return rows.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema.fields if f.dataType.typeName() == "timestamp_ntz"})
 
 
 def windowed_counts(events: DataFrame, at: str, key: str, length: str, late: str) -> DataFrame:
