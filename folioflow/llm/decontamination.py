@@ -6,9 +6,10 @@ in the item; a window without any such shingle has similarity 0 with every item,
 so none is lost.  Every window and item gets a 64-bit SimHash of its weighted
 shingles.  Fingerprints are cut into ``BLOCKS`` blocks; any two within
 ``BLOCKS - 1`` bits agree in one block at least, so an equality join per block
-finds all of them.  Candidates are verified exactly: with a shingle's weight its
-inverse item frequency times its count, the sum of minima over the sum of maxima
-must reach the threshold.
+finds all of them.  Candidates are verified exactly: a shingle weighs what it
+occurs, and the sum of minima over the sum of maxima must reach the threshold.
+(Weights by rarity among the items would let the odd words of one item outvote
+the many that its variants share.)
 
 Native.  The text is scanned once for shingles of items (their table is broadcast
 while its counted size is small, else exchanged) and read again only for the
@@ -29,7 +30,6 @@ from .store import materialize
 
 SHINGLE = 5
 BLOCKS = 12
-SCALE = 1000
 BROADCAST_ROWS = 1_000_000
 
 
@@ -91,11 +91,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: int = 80) -> DataFrame:
     """doc_id, key (of id and text), item_id, the best window (first_word, n_words), its similarity and
     fingerprint distance: a row for each document and item that it contains."""
     grams = materialize(_prepared_items(items), "items")
-    n_items = F.lit(float(max(1, grams.select("item").distinct().count())))
     small = grams.count() <= BROADCAST_ROWS
-    df = grams.groupBy("h").agg(F.countDistinct("item").alias("df"))
-    weights = df.select("h", F.round(F.log(1 + n_items / F.col("df")) * SCALE).cast("long").alias("idf"))
-    rarest = F.round(F.log(1 + n_items) * SCALE).cast("long")
 
     def hint(table: DataFrame) -> DataFrame:
         return F.broadcast(table) if small else table
@@ -121,10 +117,9 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: int = 80) -> DataFrame:
     for k in range(1, SHINGLE):
         own = own.when(F.col("k") == k, _grams(F.col("w"), k))
     place = ["id", "key", "m", "first", "len"]
-    bags = cut.select("doc_id", *place, F.explode(own).alias("h")).groupBy("doc_id", *place, "h").agg(F.count(F.lit(1)).alias("tf"))
-    bags = bags.join(hint(weights), "h", "left").withColumn("idf", F.coalesce("idf", rarest)).withColumn("weight", F.col("tf") * F.col("idf"))
+    bags = cut.select("doc_id", *place, F.explode(own).alias("h")).groupBy("doc_id", *place, "h").agg(F.count(F.lit(1)).alias("weight"))
     bags = materialize(bags, "bags")
-    item_bags = materialize(grams.groupBy("item_id", "item", "m", "h").agg(F.count(F.lit(1)).alias("tf")).join(weights, "h").withColumn("weight", F.col("tf") * F.col("idf")), "bags")
+    item_bags = materialize(grams.groupBy("item_id", "item", "m", "h").agg(F.count(F.lit(1)).alias("weight")), "bags")
 
     window_prints = _simhash(bags, place)
     item_prints = _simhash(item_bags, ["item", "m"])
@@ -133,10 +128,10 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: int = 80) -> DataFrame:
     candidates = x.join(hint(y), ["m", "block"]).select(*place, "item", "total", "item_total", F.bit_count(F.col("simhash").bitwiseXOR(F.col("item_simhash"))).alias("distance")).distinct()
 
     shared = (
-        candidates.join(bags.select("doc_id", *place, "h", F.col("tf").alias("tf_w"), "idf"), place)
-        .join(hint(item_bags.select("item_id", "item", "h", F.col("tf").alias("tf_i"))), ["item", "h"])
+        candidates.join(bags.select("doc_id", *place, "h", F.col("weight").alias("own")), place)
+        .join(hint(item_bags.select("item_id", "item", "h", F.col("weight").alias("asked"))), ["item", "h"])
         .groupBy("doc_id", "item_id", *place, "item", "total", "item_total", "distance")
-        .agg(F.sum(F.least("tf_w", "tf_i") * F.col("idf")).alias("low"))
+        .agg(F.sum(F.least("own", "asked")).alias("low"))
     )
     high = F.col("total") + F.col("item_total") - F.col("low")
     verified = shared.where(100 * F.col("low") >= threshold * high).withColumn("similarity", F.col("low") / high)
