@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import extract, quality, records, text
+from ..functions import extract, html, records, text
 from ..functions.nulls import count_if, share
+from ..operators import cluster
 from ..operators import graph as G
 from ..operators import stats as S
+from ..sources import sinks
 from ..sources.tables import CATALOG_SQL, catalog, table
 from .registry import query
 from .text_queries import prose
@@ -106,9 +108,7 @@ def _(s, d):
 
 @query("pf25_pf29_file_states", "select page_id, case when html ilike '%<html%' or html ilike '%<!doctype%' then 'html_error' else 'unknown' end as state from pages")
 def _(s, d):
-    from ..sources.sinks import file_kind
-
-    return table(s, d, "pages").select("page_id", records.file_state(file_kind(F.col("html").cast("binary")), F.length("html")).alias("state"))
+    return table(s, d, "pages").select("page_id", records.file_state(sinks.file_kind(F.col("html").cast("binary")), F.length("html")).alias("state"))
 
 
 @query("pf27_status_meta", W + "select case when lower(coalesce(status, '')) like '%dicabut%' then 'revoked' when lower(coalesce(status, '')) like '%diubah%' then 'amended' when lower(coalesce(status, '')) like '%tidak berlaku%' then 'inactive' when lower(coalesce(status, '')) like '%berlaku%' then 'active' else 'unknown' end as meta, count(*) as n from catalog group by 1")
@@ -191,3 +191,36 @@ def _(s, d):
     w = Window.partitionBy("conv_id").orderBy("turn", "role").rowsBetween(Window.unboundedPreceding, 0)
     n = F.length("text")
     return table(s, d, "conversations").select("conv_id", "turn", (F.sum(n).over(w) - n).alias("starts_at"))
+
+
+LIST_PAGE = '<p>Menampilkan 1 - 20 dari 1.234 peraturan</p><a href="/id/uu-no-1-tahun-2020/">a</a><a href="/id/uu-no-1-tahun-2020/">again</a><a href="#">x</a><a href="https://h.example/id/pp-no-2">b</a><meta name="article:tag" content="/files/x y.pdf"><ul class="pagination"><a href="?p=1">1</a><a href="?p=7">7</a></ul>'
+
+
+@query("f2_f7_list_page")
+def _(s, d):
+    p = F.col("html")
+    rows = s.createDataFrame([("list", LIST_PAGE), ("empty", "")], "name string, html string")
+    return rows.select("name", html.total_count(p).alias("total"), html.last_page(p).alias("last_page"), F.array_join(html.record_links(p), " ").alias("links"), html.pdf_url(p, "https://h").alias("pdf"), F.array_join(html.all_pdf_urls(p, "https://h"), " ").alias("pdfs"))
+
+
+@query("m3_histogram", "with v as (select vec_id, list_transform(embedding[1:32], lambda x: (abs(floor(x * 1000))::bigint % 256)) as p from embeddings) select vec_id, len(list_filter(p, lambda x: x < 16))::double / len(p) as first_bin, len(list_filter(p, lambda x: x >= 240))::double / len(p) as last_bin from v")
+def _(s, d):
+    p = F.transform(F.slice("embedding", 1, 32), lambda x: F.abs(F.floor(x * F.lit(1000).cast("float"))) % 256)
+    h = table(s, d, "embeddings").select("vec_id", cluster.channel_histogram(p).alias("h"))
+    return h.select("vec_id", F.get("h", F.lit(0)).alias("first_bin"), F.get("h", F.lit(15)).alias("last_bin"))
+
+
+@query("st11_url_changes", "select event_type, user_id, min(event_id) as first_seen, count(*) as times from events group by 1, 2")
+def _(s, d):
+    return table(s, d, "events").groupBy("event_type", "user_id").agg(F.min("event_id").alias("first_seen"), F.count(F.lit(1)).alias("times"))
+
+
+@query("sk22_page_texts", "select conv_id, string_agg(text, chr(10) || '=====' || chr(10) order by turn, text) as text from conversations group by 1 having count(*) = count(text)")
+def _(s, d):
+    return sinks.joined_pages(table(s, d, "conversations"), "conv_id", "turn", "\n=====\n")
+
+
+@query("sk8_facts", "select doc_id, quality, 'score' as fact from labels union all select doc_id, toxic, 'toxic' from labels")
+def _(s, d):
+    l = table(s, d, "labels")
+    return l.select("doc_id", "quality", F.lit("score").alias("fact")).union(l.select("doc_id", "toxic", F.lit("toxic")))
