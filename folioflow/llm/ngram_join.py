@@ -48,6 +48,7 @@ VERIFY_COST = 8.0
 SHORT = 32
 BLOCK = 1024
 TOKENS = 4096
+BROADCAST_CLUSTERS = 100_000
 PER_BUCKET = 1_500_000
 ENTRY = np.dtype([("t", "<u8"), ("fp", "<i8"), ("n", "<u4"), ("l", "u1")])
 
@@ -284,10 +285,11 @@ class Join:
         wanted = _Members(merged(clusters.select(F.col("node").alias("fp")).mapInArrow(_note_nodes, "part int, slice int, data binary"), Repeats))
         shipped = self.spark.sparkContext.broadcast(wanted)
         sets = self.docs.select("text").mapInArrow(lambda it: _sets(it, shipped.value), "fp long, set binary").dropDuplicates(["fp"])
-        n_blocks = F.ceil(F.col("m") / BLOCK)
-        sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m")).select("root", n_blocks.alias("blocks"))
+        sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
+        large = materialize(sizes.where(F.col("m") > BLOCK).select("root", F.ceil(F.col("m") / BLOCK).alias("blocks")), "large")
+        large = F.broadcast(large) if large.count() <= BROADCAST_CLUSTERS else large
         bins = 1 + clusters.count() // BLOCK
-        nodes = clusters.join(sizes, "root").select(F.col("node").alias("fp"), "root", "blocks")
+        nodes = clusters.join(large, "root", "left").select(F.col("node").alias("fp"), "root", F.coalesce("blocks", F.lit(1).cast("long")).alias("blocks"))
         nodes = nodes.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
         # a node meets every block of its cluster once; clusters of one block share tasks
         tiles = nodes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -310,8 +312,8 @@ class Join:
         most = F.col("shared") + F.coalesce(F.least("ha", "hb"), F.lit(0))
         near = counted.where(F.when(F.col("ha").isNull() | F.col("hb").isNull(), F.col("shared")).otherwise(most) >= F.col("least")).select("a", "b")
         # a pair that meets in long lists only has as many of them as the smaller L of the two
-        fewest = long.agg(F.min("l").alias("fewest"))
-        able = long.join(held, "fp").join(F.broadcast(fewest)).where(F.col("held") >= F.least("l", "fewest"))
+        fewest = long.agg(F.min("l")).first()[0] or 1
+        able = long.join(held, "fp").where(F.col("held") >= F.least(F.col("l"), F.lit(fewest)))
         hubs = able.groupBy("t").agg(F.min("fp").alias("b"))
         stars = able.join(hubs, "t").select(F.col("fp").alias("a"), "b").where("a <> b").distinct()
         return near.unionByName(stars)
