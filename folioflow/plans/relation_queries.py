@@ -157,7 +157,7 @@ def _(s, d):
 @query("j19_optional_revoker", f"with {EDGES} select o_orderkey, r.src as revoker, case when r.src is null then 'in force' else 'revoked' end as state from orders left join (select dst, min(src) as src from edges where rel_type = 'REVOKES' group by 1) r on r.dst = o_orderkey where o_orderkey < 5000")
 def _(s, d):
     r = edges(s, d).where("rel_type = 'REVOKES'").groupBy(F.col("dst").alias("o_orderkey")).agg(F.min("src").alias("revoker"))
-    o = table(s, d, "orders").where("o_orderkey < 5000").select("o_orderkey")
+    o = table(s, d, "orders").select("o_orderkey")
     return o.join(r, "o_orderkey", "left").withColumn("state", F.when(F.col("revoker").isNull(), "in force").otherwise("revoked"))
 
 
