@@ -30,12 +30,14 @@ def completeness(rows: DataFrame, columns: list[str]) -> DataFrame:
     return one.select("n", each).select("x.field", "x.filled", (F.col("n") - F.col("x.filled")).alias("blank"), "x.n_distinct", pct.alias("pct"), band.alias("band"))
 
 
-def missing_years(rows: DataFrame, year: str, limit: int = 20) -> DataFrame:
-    """Years between the first and the last that no row has, at most ``limit``."""
+def missing_years(rows: DataFrame, year: str, limit: int | None = None) -> DataFrame:
+    """Years between the first and the last that no row has: all, or the first
+    ``limit``."""
     seen = rows.where(F.col(year).isNotNull()).select(year).distinct()
     span = seen.agg(F.min(year).alias("a"), F.max(year).alias("b")).where("a is not null")
     every = span.select(F.explode(F.sequence("a", "b")).alias(year))
-    return every.join(seen, year, "left_anti").orderBy(year).limit(limit)
+    missing = every.join(seen, year, "left_anti").orderBy(year)
+    return missing if limit is None else missing.limit(limit)
 
 
 def order_statistic(rows: DataFrame, value: str, share_: float, keys: list[str] | None = None, descending: bool = False) -> DataFrame:

@@ -15,3 +15,10 @@ def test_optional_revoker_of_all_orders(spark, tmp_path):
     d = write(spark, tmp_path, "orders", [(k,) for k in keys], "o_orderkey long")
     got = {tuple(r) for r in plans.QUERIES["j19_optional_revoker"](spark, d).select("o_orderkey", "revoker", "state").collect()}
     assert got == {(k, 10000 if k == 5000 else None, "revoked" if k == 5000 else "in force") for k in keys}
+
+
+def test_missing_years_of_all_lines(spark, tmp_path):
+    keys = [1, 30, 41, 90]
+    d = write(spark, tmp_path, "lineitem", [(k,) for k in keys], "l_suppkey long")
+    got = [r["y"] for r in plans.QUERIES["s5_missing_years"](spark, d).collect()]
+    assert got == sorted(set(range(3, 271)) - {3 * k for k in keys})
