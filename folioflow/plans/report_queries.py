@@ -155,7 +155,7 @@ def _(s, d):
 
 @query("f53_line_categories")
 def _(s, d):
-    lines = table(s, d, "documents").select(F.explode(F.slice(F.split("text", "\n", -1), 1, 5)).alias("line"))
+    lines = table(s, d, "documents").select(F.explode(F.split("text", "\n", -1)).alias("line"))
     return lines.groupBy(text.line_category(F.col("line")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
 
 

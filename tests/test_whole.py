@@ -22,3 +22,11 @@ def test_missing_years_of_all_lines(spark, tmp_path):
     d = write(spark, tmp_path, "lineitem", [(k,) for k in keys], "l_suppkey long")
     got = [r["y"] for r in plans.QUERIES["s5_missing_years"](spark, d).collect()]
     assert got == sorted(set(range(3, 271)) - {3 * k for k in keys})
+
+
+def test_line_categories_of_whole_texts(spark, tmp_path):
+    lines = {"- 12 -": "page_number", "Presiden": "institution", "Nomor 3": "number", "www.x.id": "url", "HEADING": "heading", "some text": "text", "": "text"}
+    texts = ["\n".join(lines), "\n".join([*reversed(lines)] * 3), "", None]
+    d = write(spark, tmp_path, "documents", [(t,) for t in texts], "text string")
+    got = {r["category"]: r["n"] for r in plans.QUERIES["f53_line_categories"](spark, d).collect()}
+    assert got == collections.Counter(lines[x] for t in texts if t is not None for x in t.split("\n"))
