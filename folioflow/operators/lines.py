@@ -75,10 +75,10 @@ def apply_rules(text: Column, rules: list[dict]) -> Column:
     return F.trim(F.regexp_replace(text, r"\n{3,}", "\n\n"), F.lit(" \t\r\n"))
 
 
-def position_frequency(docs: DataFrame, cluster: str, top: int = 3, share: float = 0.3, first: int = 20) -> DataFrame:
+def position_frequency(docs: DataFrame, cluster: str, top: int = 3, share: float = 0.3) -> DataFrame:
     """Per cluster and line position the ``top`` lines on more than ``share`` of
     its documents."""
-    lines = docs.select(cluster, F.posexplode(F.slice(F.split("text", "\n", -1), 1, first)).alias("pos", "line")).where(F.trim("line") != "")
+    lines = docs.select(cluster, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
     n = docs.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"))
     hits = lines.groupBy(cluster, "pos", F.trim("line").alias("line")).agg(F.count(F.lit(1)).alias("hits"))
     order = Window.partitionBy(cluster, "pos").orderBy(F.desc("hits"), "line")

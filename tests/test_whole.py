@@ -30,3 +30,21 @@ def test_line_categories_of_whole_texts(spark, tmp_path):
     d = write(spark, tmp_path, "documents", [(t,) for t in texts], "text string")
     got = {r["category"]: r["n"] for r in plans.QUERIES["f53_line_categories"](spark, d).collect()}
     assert got == collections.Counter(lines[x] for t in texts if t is not None for x in t.split("\n"))
+
+
+def test_position_frequency_of_whole_texts(spark, tmp_path):
+    docs = [(i, "en", "\n".join(["top"] + [f" line {i} {k} " for k in range(1, 40)] + ["bottom", "", f"tail {i % 2}"])) for i in range(150)] + [(150, "de", None)]
+    d = write(spark, tmp_path, "documents", docs, "doc_id long, lang string, text string")
+    got = {tuple(r) for r in plans.QUERIES["a28_position_frequency"](spark, d).select("lang", "pos", "line", "hits", "rank").collect()}
+    hits = collections.defaultdict(collections.Counter)
+    for _, _, text in docs[:-1]:
+        for pos, line in enumerate(text.split("\n")):
+            if line.strip(" "):
+                hits[pos][line.strip(" ")] += 1
+    expected = set()
+    for pos, found in hits.items():
+        for rank, (line, n) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:3], 1):
+            if n / 150 > 0.01:
+                expected.add(("en", pos, line, n, rank))
+    assert max(x[1] for x in expected) == 42
+    assert got == expected
