@@ -245,8 +245,9 @@ def bounded_levenshtein(a: Column, b: Column, most: int) -> Column:
     return F.when(d < 0, most + 1).otherwise(d)
 
 
-def character_error_rate(reference: Column, other: Column, most: int) -> Column:
-    return F.try_divide(bounded_levenshtein(reference, other, most), F.length(reference))
+def character_error_rate(reference: Column, other: Column) -> Column:
+    """Exact edit distance over the length of the reference."""
+    return F.try_divide(F.levenshtein(reference, other), F.length(reference))
 
 
 def header_metadata(c: Column) -> Column:

@@ -183,8 +183,8 @@ def _(s, d):
 
 @query("f46_error_rate", "select item_id, levenshtein(a, upper(a))::double / length(a) as cer from (select item_id, left(regexp_replace(text, '[^a-zA-Z ]', '', 'g'), 60) as a from benchmark)")
 def _(s, d):
-    a = F.substring(F.regexp_replace("text", "[^a-zA-Z ]", ""), 1, 60)
-    return table(s, d, "benchmark").select("item_id", text.character_error_rate(a, F.upper(a), 60).alias("cer"))
+    a = F.regexp_replace("text", "[^a-zA-Z ]", "")
+    return table(s, d, "benchmark").select("item_id", text.character_error_rate(a, F.upper(a)).alias("cer"))
 
 
 @query("f47_sequence_ratio")

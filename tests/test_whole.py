@@ -48,3 +48,21 @@ def test_position_frequency_of_whole_texts(spark, tmp_path):
                 expected.add(("en", pos, line, n, rank))
     assert max(x[1] for x in expected) == 42
     assert got == expected
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_error_rate_of_whole_texts(spark, tmp_path):
+    texts = ["Short Text, 1!", "A" * 60 + " end of it", "mixed CASE text. " * 12, "x" * 200, "7", None]
+    d = write(spark, tmp_path, "benchmark", list(enumerate(texts)), "item_id int, text string")
+    got = {r["item_id"]: r["cer"] for r in plans.QUERIES["f46_error_rate"](spark, d).collect()}
+    letters = ["".join(c for c in t or "" if c == " " or c.isascii() and c.isalpha()) for t in texts]
+    assert got == {i: distance(a, a.upper()) / len(a) if a else None for i, a in enumerate(letters)}
+    assert got[3] == 1
