@@ -66,3 +66,19 @@ def test_error_rate_of_whole_texts(spark, tmp_path):
     letters = ["".join(c for c in t or "" if c == " " or c.isascii() and c.isalpha()) for t in texts]
     assert got == {i: distance(a, a.upper()) / len(a) if a else None for i, a in enumerate(letters)}
     assert got[3] == 1
+
+
+def test_paths_from_all_nodes(spark, tmp_path):
+    keys = [*range(1, 140), 1024]
+    d = write(spark, tmp_path, "orders", [(k,) for k in keys], "o_orderkey long")
+    got = {tuple(r) for r in plans.QUERIES["j18_variable_length_path"](spark, d).select("start", "node", "steps").collect()}
+    step = {k: k // 2 for k in keys if k % 2 == 0}
+    expected = set()
+    for start in step:
+        node = start
+        for steps in range(1, 5):
+            if node not in step:
+                break
+            node = step[node]
+            expected.add((start, node, steps))
+    assert got == expected
