@@ -205,7 +205,7 @@ def _(s, d):
 
 @query("m3_histogram", "with v as (select vec_id, list_transform(embedding[1:32], lambda x: (abs(floor(x * 1000))::bigint % 256)) as p from embeddings) select vec_id, len(list_filter(p, lambda x: x < 16))::double / len(p) as first_bin, len(list_filter(p, lambda x: x >= 240))::double / len(p) as last_bin from v")
 def _(s, d):
-    p = F.transform(F.slice("embedding", 1, 32), lambda x: F.abs(F.floor(x * F.lit(1000).cast("float"))) % 256)
+    p = F.transform("embedding", lambda x: F.abs(F.floor(x * F.lit(1000).cast("float"))) % 256)
     h = table(s, d, "embeddings").select("vec_id", cluster.channel_histogram(p).alias("h"))
     return h.select("vec_id", F.get("h", F.lit(0)).alias("first_bin"), F.get("h", F.lit(15)).alias("last_bin"))
 

@@ -82,3 +82,10 @@ def test_paths_from_all_nodes(spark, tmp_path):
             node = step[node]
             expected.add((start, node, steps))
     assert got == expected
+
+
+def test_histogram_of_whole_vectors(spark, tmp_path):
+    vectors = [[0.0] * 32 + [0.25] * 32, [0.1] * 40 + [0.005] * 24]
+    d = write(spark, tmp_path, "embeddings", list(enumerate(vectors)), "vec_id int, embedding array<float>")
+    got = {r["vec_id"]: (r["first_bin"], r["last_bin"]) for r in plans.QUERIES["m3_histogram"](spark, d).collect()}
+    assert got == {0: (0.5, 0.5), 1: (0.375, 0)}
