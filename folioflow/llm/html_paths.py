@@ -5,8 +5,11 @@ of text, its punctuation and its link text are added up over all its nodes; the
 two ratios (characters per node, marks per node) are smoothed over neighbouring
 paths in page order, fused to one score and cut at a threshold relative to the
 page.  Selection is by path, so a short paragraph is kept with its siblings; the
-smallest element around the selected text brings in the headings and other
-blocks beside it.
+article that holds selected text, or the smallest element around selected text
+outside of articles, brings in the headings and other blocks beside it.
+
+All paths of a page are scored together.  An <article> or <main> decides nothing
+alone: only if one holds most of the selected text do its paths get a bonus.
 
 What a tag or a class name says for certain is decided first: scripts, styles,
 navigation, headers, footers, sidebars, forms, adverts, notices and comments
@@ -49,6 +52,7 @@ MARK = re.compile(r"[.,;:!?。，！？،؟]")
 SPACE = re.compile(r"\s+")
 
 THRESHOLD = 0.25
+BONUS = 2.0
 SPREAD = (0.25, 0.5, 0.25)
 
 
@@ -199,20 +203,48 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    main = [b for b in found if any(e.tag == "article" for e in _up(b[0]))] or [b for b in found if any(e.tag == "main" for e in _up(b[0]))]
-    found = main or found
-    if not found:
-        return ""
     scores = path_scores(found)
-    top = max(scores.values())
-    if top <= 0:
+    if max(scores.values(), default=0) <= 0:
         return ""
-    chosen = {p for p, s in scores.items() if s >= THRESHOLD * top}
-    inside = _around([b[0] for b in found if b[0].path in chosen])
-    kept = [b[1] for b in found if b[0].path in chosen or (inside in _up(b[0]) and (b[3] or b[2] < 0.5 * len(b[1])))]
+    chosen = _best(scores)
+    holder = _holder([b for b in found if b[0].path in chosen])
+    if holder:
+        held = {b[0].path for b in found if holder in _up(b[0])}
+        chosen = _best({p: s * BONUS if p in held else s for p, s in scores.items()})
+    picked = [b[0] for b in found if b[0].path in chosen]
+    articles = {a for e in picked if (a := _article(e))}
+    rest = [e for e in picked if not _article(e)]
+    around = _around(rest) if rest else None
+
+    def beside(e: _Element) -> bool:
+        up = _up(e)
+        # an article without selected text is no neighbour of the text outside of it
+        return not articles.isdisjoint(up) or around in up and not _article(e)
+
+    kept = [b[1] for b in found if b[0].path in chosen or ((b[3] or b[2] < 0.5 * len(b[1])) and beside(b[0]))]
     return "\n".join(kept)
 
 
+def _best(scores: dict[str, float]) -> set[str]:
+    top = max(scores.values())
+    return {p for p, s in scores.items() if s >= THRESHOLD * top}
+
+
+def _holder(picked: list[tuple[_Element, str, int, bool]]) -> _Element | None:
+    """The innermost article or main with more than half of the selected text."""
+    held: dict[_Element, int] = {}
+    for element, text, _, _ in picked:
+        for e in _up(element):
+            if e.tag in ("article", "main"):
+                held[e] = held.get(e, 0) + len(text)
+    half = sum(len(b[1]) for b in picked) / 2
+    return max((e for e, n in held.items() if n > half), key=lambda e: e.depth, default=None)
+
+
+def _article(element: _Element) -> _Element | None:
+    return next((e for e in _up(element) if e.tag == "article"), None)
+
+
 def _up(element: _Element | None) -> list[_Element]:
     out = []
     while element:
