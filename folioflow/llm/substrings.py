@@ -5,7 +5,7 @@ its windows and the sketches are merged; the sketch key of a window is its
 smallest ``GRAM``-word hash (with the leftmost place), so the six or so windows
 around one place count once and an estimate can only exceed a window's count.
 Second pass: windows that may be repeated, and no others, are grouped exactly by
-a 96-bit hash in hash-range buckets; every window but the first of its group
+a 128-bit hash (two lanes that are independent from the bytes on) in hash-range buckets; every window but the first of its group
 (by doc_id, then start) marks its words.  Unrepeated windows never travel.
 
 Windows that repeat inside one Arrow batch are settled there, so a window that
@@ -39,7 +39,7 @@ GRAM = 10
 BITS = 26
 PLACE = np.uint64((1 << 24) - 1)
 PER_BUCKET = 4_000_000
-ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("doc", "<i8"), ("row", "<u4"), ("pos", "<u4")])
+ENTRY = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("pos", "<u4")])
 FIRST = np.iinfo(np.int64).min
 
 
@@ -87,7 +87,7 @@ def _entries(words: Words, hashes: np.ndarray, ids: np.ndarray, repeated: Repeat
     at = at[may]
     e = np.empty(len(at), ENTRY)
     e["a"] = windows(hashes, WINDOW)[at] if len(at) else 0
-    e["b"] = windows(hashes, WINDOW, 1)[at] >> np.uint64(32) if len(at) else 0
+    e["b"] = windows(words.hashes(1), WINDOW)[at] if len(at) else 0
     row = np.searchsorted(words.first, at, "right") - 1
     e["row"], e["pos"], e["doc"] = row, at - words.first[row], ids[row]
     return _split(e)

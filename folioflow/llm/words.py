@@ -9,6 +9,7 @@ in pieces of bounded size, so one very long text costs 8 bytes per word.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,28 +30,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2**64."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse, self.n = base, pow(base, -1, 1 << 64), 0
-
-    def _run(self, factor: int) -> np.ndarray:
-        out = np.full(self.n, factor, np.uint64)
-        out[0] = 1
-        return np.cumprod(out)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > self.n:
-            self.n = max(n, 1 << 12)
-            self.up, self.down = self._run(self.base), self._run(self.inverse)
-        return self.up[:n], self.down[:n]
-
-
-_WORD, _LANE_A, _LANE_B = Powers(0xD1342543DE82EF95), Powers(0xA0761D6478BD642F), Powers(0xE7037ED1A0B428DB)
+#: One start and one odd factor for each lane; lanes share nothing from the bytes on.
+_LANES = ((np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)), (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xA0761D6478BD642F)))
+_LONG = 64
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 def text_batches(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -104,9 +87,9 @@ class Words:
         self.first = np.searchsorted(self.starts, at)
         self.counts = np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word."""
-        return span_hashes(self.data, self.starts, self.ends)
+    def hashes(self, lane: int = 0) -> np.ndarray:
+        """A 64-bit hash of every word; lanes are independent."""
+        return span_hashes(self.data, self.starts, self.ends, lane)
 
     def sums(self, table: np.ndarray) -> np.ndarray:
         """Per document, the sum of ``table[byte]`` over its bytes."""
@@ -114,38 +97,52 @@ class Words:
         return total[self.bounds[1:]] - total[self.bounds[:-1]]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every span of bytes; spans are in order and disjoint."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
+    """A 64-bit hash of every span of bytes, wherever it stands.
+
+    Eight bytes a step go through ``mix``, which has no algebraic structure that
+    texts could follow; spans of over ``_LONG`` bytes are hashed by BLAKE2."""
+    start, factor = _LANES[lane]
     out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(out):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
-        o = starts[i]
-        piece = data[o : ends[j - 1]]
-        up, down = _WORD.get(len(piece) + 1)
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[piece] * up[:-1])])
-        s, e = starts[i:j] - o, ends[i:j] - o
-        out[i:j] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
-        i = j
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    for i in range(0, len(out), PIECE):
+        s, n = starts[i : i + PIECE], ends[i : i + PIECE] - starts[i : i + PIECE]
+        h = mix(n.astype(np.uint64) * factor + start)
+        left = np.flatnonzero(n <= _LONG)
+        for step in range(0, _LONG, 8):
+            left = left[n[left] > step]
+            if not len(left):
+                break
+            chunk = eight[s[left] + step] & _TAIL[np.minimum(n[left] - step, 8)]
+            h[left] = mix((h[left] ^ chunk) * factor + start)
+        for k in np.flatnonzero(n > _LONG):
+            digest = blake2b(data[s[k] : s[k] + n[k]].tobytes(), digest_size=8, salt=bytes([lane])).digest()
+            h[k] = np.frombuffer(digest, "<u8")[0]
+        out[i : i + PIECE] = h
     return out
 
 
-def windows(words: np.ndarray, size: int, lane: int = 0) -> np.ndarray:
-    """A 64-bit hash of every run of ``size`` words; lanes are independent."""
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * np.uint64(0xE7037ED1A0B428DB) + b + np.uint64(0x8EBC6AF09C88C6E3))
+
+
+def windows(words: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``size`` words, joined from runs of powers
+    of two.  Windows of another lane's words are independent."""
     n = len(words) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.empty(n, np.uint64)
-    powers = (_LANE_A, _LANE_B)[lane]
-    if lane:
-        words = mix(words + np.uint64(0x9E3779B97F4A7C15))
-    for i in range(0, n, PIECE):
-        m = min(PIECE, n - i)
-        part = words[i : i + m + size - 1]
-        up, down = powers.get(len(part))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up)])
-        out[i : i + m] = mix((total[size:] - total[:-size]) * down[:m])
-    return out
+    run, width, out, done = words, 1, None, 0
+    while True:
+        if size & width:
+            own = run[done : done + n]
+            out = own if out is None else _joined(out, own)
+            done += width
+        if done == size:
+            return mix(out + np.uint64(size)) if size == 1 else out
+        run = _joined(run[:-width], run[width:])
+        width *= 2
 
 
 def document_windows(counts: np.ndarray, size: int) -> np.ndarray:
