@@ -6,7 +6,7 @@ _SIZES = r"""
 sized as (
   select doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-         ('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':mix'), 1, 15))::bigint as at
+         ('0x' || substr(md5(coalesce(doc_id::varchar, 'null' || md5(coalesce(text, ''))) || ':mix'), 1, 15))::bigint as at
   from documents)"""
 
 OP3 = f"""
@@ -23,16 +23,28 @@ filled as (
          / sum(w) over (order by most / w, source is null, source rows between current row and unbounded following) as level
   from weighted),
 targets as (
-  select source, source_size,
+  select source, source_size, 1.5::double * sum(source_size) over () as wanted,
          coalesce(least(most, w * (select min_by(level, ratio) from filled where level <= ratio)), most)::double as target
   from filled),
+bounds as (
+  select *, round(sum(target) over (order by source is null, source) / wanted * 281474976710656.0)::bigint as hi,
+         row_number() over (order by source is null desc, source desc) = 1 as is_last
+  from targets),
+intervals as (
+  select source, source_size, target, case when is_last then 281474976710656 else hi end as hi,
+         coalesce(lag(hi) over (order by source is null, source), 0) as lo
+  from bounds),
+slots as (
+  select k, list_sum([((k >> i) & 1) << (47 - i) for i in range(48)])::bigint as v
+  from (select unnest(range((select ceil(max(wanted) / 64)::bigint from targets))) as k)),
+scheduled as (select source, source_size, target, count(k) * 64 as words from intervals left join slots on v >= lo and v < hi group by all),
 placed as (
-  select s.doc_id, s.size, t.source_size, t.target, round(t.target)::bigint as want,
+  select s.doc_id, s.size, t.source_size, t.target, t.words,
          coalesce(sum(s.size) over (partition by s.source order by s.at, s.doc_id nulls first, s.size
                                     rows between unbounded preceding and 1 preceding), 0)::bigint as first
-  from sized s join targets t on s.source is not distinct from t.source)
+  from sized s join scheduled t on s.source is not distinct from t.source)
 select doc_id, size, source_size, target,
-       (greatest(0, least(size, want - first)) + greatest(0, least(size, want - source_size - first)))::bigint as taken
+       (greatest(0, least(size, words - first)) + greatest(0, least(size, words - source_size - first)))::bigint as taken
 from placed"""
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"

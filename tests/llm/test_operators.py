@@ -32,6 +32,26 @@ def test_words_match_the_pattern():
     assert w.counts.tolist() == [len(WORD.findall(t or "")) for t in texts]
 
 
+def opposite_words(n):
+    """The Thue-Morse word of n letters and its complement: equal under any polynomial hash modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_with_structure_do_not_collide(spark, n):
+    x, y = opposite_words(n)
+    w = W.Words(pa.array([f"{x} {y}"]))
+    assert all(len({*w.hashes(lane).tolist()}) == 2 for lane in (0, 1))
+    h = W.Words(pa.array([f"{' '.join(x)} {' '.join(y)}"])).hashes()
+    assert len({*W.windows(h, n)[[0, n]].tolist()}) == 2
+    rest = " ".join(f"w{i}" for i in range(25))
+    df = spark.createDataFrame([(1, f"{x} {rest}", "a", "b"), (2, f"{y} {rest}", "a", "b"), (3, f"{x}\n{y}\n{rest}", "a", "b"), (4, x, "a", "b"), (5, y, "a", "b")], "doc_id bigint, text string, lang string, source string")
+    assert {r["doc_id"]: r["n_dup_lines"] for r in outliers.quality_rules(df).collect()} == dict.fromkeys(range(1, 6), 0)
+    assert {r["doc_id"]: r["n_removed"] for r in substrings.digests(df).collect()} == {1: 0, 2: 25, 3: 26, 4: 0, 5: 0}
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+
+
 def test_hashes_do_not_depend_on_place_or_batch():
     a, b = W.Words(pa.array(["one two three one", "two"])), W.Words(pa.array(["x", "three two one"]))
     h, g = a.hashes(), b.hashes()
@@ -125,6 +145,19 @@ def brute_targets(sizes):
     return target
 
 
+def van_der_corput(k, bits=48):
+    return int(f"{k:0{bits}b}"[::-1], 2)
+
+
+def test_closed_form_of_slot_ranks(spark):
+    bounds = [0, 1, 1 << 47, 1 << 48, (1 << 48) // 3, 12345678901234, (1 << 48) - 1, 3 << 45]
+    df = spark.range(200).select("id", *[mixing.points_below(F.col("id"), mixing.digits(F.lit(b).cast("long"))).alias(f"c{i}") for i, b in enumerate(bounds)], mixing.point(F.col("id")).alias("v"))
+    for r in df.collect():
+        assert r["v"] == van_der_corput(r["id"])
+        for i, b in enumerate(bounds):
+            assert r[f"c{i}"] == sum(van_der_corput(k) < b for k in range(r["id"]))
+
+
 def test_mixing(spark, sample, nothing):
     df, rows, _ = sample
     got = mixing.mixed(df, block_words=37).collect()
@@ -140,15 +173,37 @@ def test_mixing(spark, sample, nothing):
         assert 0 <= r["taken"] <= 2 * r["size"]
         taken[source_of[round(r["target"], 6)]] += r["taken"]
         assert r["source_size"] == own[source_of[round(r["target"], 6)]]
-    assert all(abs(taken[s] - t) <= 1 for s, t in target.items())
+    n_slots = math.ceil(1.5 * sum(size) / 37)
+    assert all(abs(taken[s] - t) <= 37 * (math.log2(n_slots) / 2 + 1) for s, t in target.items())
+    edges, points = np.cumsum([0, *[target[s] for s in sorted(target, key=lambda s: (s is None, s))]]), collections.Counter()
+    for k in range(n_slots):
+        points[int(np.searchsorted(np.round(edges[1:-1] / (1.5 * sum(size)) * 2**48), van_der_corput(k), "right"))] += 1
+    for i, s in enumerate(sorted(target, key=lambda s: (s is None, s))):
+        assert taken[s] == min(37 * points[i], 2 * own[s])
     assert tally(mixing.mixed(df.repartition(7), block_words=37).collect()) == tally(got)
     assert mixing.mixed(nothing).count() == 0
     assert {r["taken"] for r in mixing.mixed(df.where("text is null")).collect()} == {0}
 
 
+def test_points_decide_what_is_taken(spark, sample, monkeypatch):
+    own = tally(mixing.mixed(sample[0]).collect())
+    for other in (lambda k: mixing._mirrored(k * 3 + 1), lambda k: F.lit(0).cast("long")):
+        monkeypatch.setattr(mixing, "point", other)
+        assert tally(mixing.mixed(sample[0]).collect()) != own
+
+
+def test_null_ids_are_dealt_by_text(spark):
+    df = spark.createDataFrame([(None, f"text number {i}", "a") for i in range(50)], "doc_id bigint, text string, source string")
+    assert mixing.mixture(df).placed.select("start").distinct().count() == 50
+    assert {r["taken"] for r in mixing.mixed(df, block_words=1).collect()} <= set(range(7))
+
+
 def test_schedule_follows_targets(spark, sample):
     m = mixing.mixture(sample[0], block_words=16)
     slots = m.slots.toPandas().sort_values("slot")
+    assert slots["slot"].tolist() == list(range(m.n_slots))
+    for _, blocks in slots.groupby("sid"):
+        assert blocks["block"].tolist() == list(range(len(blocks)))
     share = slots["sid"].value_counts(normalize=True)
     half = slots.head(len(slots) // 2)["sid"].value_counts(normalize=True)
     assert (share - half).abs().max() < 0.05
