@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import materialize
 
+SALTS = 64
+
+
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Edges (a, b, salt) with m, the least neighbour of a.  A hub's edges are
+    dealt over ``SALTS`` tasks, each of which gets the hub's m."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    parts = salted.groupBy("a", "salt").agg(F.min("b").alias("m"))
+    low = parts.select("a", "salt").join(parts.groupBy("a").agg(F.min("m").alias("m")), "a")
+    return salted.join(low, ["a", "salt"])
+
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: bigint): the smallest
@@ -15,18 +26,19 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternates large-star and small-star steps, which keep the components and
     end in stars; every step is a few aggregations by node.  Each round is
     written, so lineage stays short; a sum over the edges tells when nothing
-    changes any more."""
+    changes any more.  If that takes over ``max_rounds`` rounds, it is an error:
+    partial components are never returned.  Without edges there are no rows;
+    loops and repeated edges count once; edges with a null end must be left out."""
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = materialize(e, "edges")
     last = None
     for _ in range(max_rounds):
-        both = e.union(e.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # large star: neighbours above a node hang on its smallest neighbour
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        both = _with_least(e.union(e.select("b", "a")))
+        large = both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
         # small star: so do those below it, and the node itself
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(low.select("a", F.col("m").alias("b"))).distinct()
+        below = _with_least(large)
+        small = below.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(below.select("a", F.col("m").alias("b"))).distinct()
         e = materialize(small, "edges")
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == last:

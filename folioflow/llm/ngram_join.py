@@ -1,27 +1,38 @@
 """Near-duplicate classes by an n-gram Jaccard join with adaptive prefixes.
 
 A document is the set of its five-word shingles.  Documents with equal sets form
-one class and take part once.  Shingles are put in one global order, rare first,
-by a count-min sketch over all documents.  Two sets with Jaccard similarity of at
-least 0.8 share at least L shingles in the first ``n - ceil(0.8 n) + L`` of
-each, for every L; a document picks the L with the lowest estimated cost: shingles
-to scan, plus candidates to verify, which fall as L grows.  Two documents are a
-candidate pair if they share ``min(L1, L2)`` prefix shingles, and candidates are
-verified on their whole sets (100 * intersection >= 80 * union).
+one class: one of them stands for all from the first pass on.  Shingles are put in
+one global order, rare first, by a count-min sketch over all documents.  Two sets
+with Jaccard similarity of at least 0.8 share at least L shingles in the first
+``n - ceil(0.8 n) + L`` of each, for every L; a document picks the L with the lowest
+estimated cost: shingles to scan, plus candidates to verify, which fall as L grows.
+Two documents are a candidate pair if they share ``min(L1, L2)`` prefix shingles,
+and candidates are verified on their whole sets (100 * intersection >= 80 * union).
 
 Candidates are not verified pair by pair: each set would travel once for every
 partner.  Pairs are taken from lists (documents under one prefix shingle) of up to
 ``SHORT`` members and counted against L; longer lists, where a group of copies or
-a common passage meets, only tie their members together, and count in full towards
-the L of every pair.  What candidates connect is a cluster; a cluster is cut into
-blocks of ``BLOCK`` documents and each pair of blocks is one task, which gets whole
-sets and multiplies membership matrices.  It tests every pair of its documents,
-so all links are found, but returns only a spanning forest of them: a group of
-thousands of copies costs rows in proportion to its size.
+a common passage meets, tie together those members that have as many long lists
+as the least L of the list asks, and count in full towards the L of every pair.
+What candidates connect is a cluster.  A cluster is cut into blocks of at most
+``BLOCK`` documents and about ``BLOCK_SHINGLES`` shingles.  A task gets the whole
+sets of one block and of the cluster's ``PIVOTS`` pivots, tests all pairs of the
+block and of block and pivots, and returns a spanning forest of the links.  Only
+documents that this leaves outside of the cluster's largest component meet all
+others, block by block.  So all links between different components are found, and
+a group of near copies costs work in proportion to its size.
+
+A list that may be long is dealt over many tasks by its estimated count, as are the
+neighbours of one node in the component steps, so no task holds a whole group.
 
 Nulls: a null or empty text has an empty set and is linked with nothing; a null
 doc_id joins its component but never names it (its component_id is null if all
-its members' ids are).  Repeated rows are returned as often as they come.
+its members' ids are).  Repeated rows are returned as often as they come.  An empty
+table gives an empty result.  A very long text is one set and fills a block alone.
+Other columns play no part; names that start with ``__ff_`` are taken.
+
+Sets are told apart by 64-bit fingerprints of 64-bit shingle hashes: among ``N``
+distinct sets about ``N**2 / 2**65`` pairs would be taken for equal.
 """
 
 from __future__ import annotations
@@ -37,7 +48,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .sketch import Counts, Estimates, Repeated, Repeats, merged, pack, unpack
-from .store import materialize
+from .store import KEYS, bounded_batches, materialize, row_key, settled, ship
 from .words import Words, document_windows, mix, text_batches, windows
 
 SHINGLE = 5
@@ -47,9 +58,15 @@ MOST_SHARED = 6
 VERIFY_COST = 8.0
 SHORT = 32
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 19
+PIVOTS = 8
 TOKENS = 4096
-BROADCAST_CLUSTERS = 100_000
+BROADCAST_ROWS = 300_000
 PER_BUCKET = 1_500_000
+#: Code of the estimate from which the list of a shingle is dealt over several buckets, and the bit that marks it.
+HEAVY = 8 * 16
+MARK = 0x80
+STAR_SALTS = 64
 ENTRY = np.dtype([("t", "<u8"), ("fp", "<i8"), ("n", "<u4"), ("l", "u1")])
 
 
@@ -88,8 +105,8 @@ def fingerprints(value: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sketch slices (slice >= 0) and a row (slice -1) for each document."""
     sketch, part = Counts(BITS), TaskContext.get().partitionId()
-    names = ["part", "slice", "doc_id", "key", "n", "fp", "data"]
-    types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    names = ["part", "slice", "doc_id", "key", "row", "n", "fp", "data"]
+    types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     any_text = False
     for whole in batches:
         for batch in text_batches(whole):
@@ -100,10 +117,10 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 any_text = True
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, part, np.int32)), pa.array(np.full(k, -1, np.int32)), batch.column("doc_id"), batch.column("key"), pa.array(np.diff(first).astype(np.int64)), pa.array(fp), pa.nulls(k, pa.binary())], names
+                [pa.array(np.full(k, part, np.int32)), pa.array(np.full(k, -1, np.int32)), batch.column("doc_id"), batch.column("key"), batch.column("row"), pa.array(np.diff(first).astype(np.int64)), pa.array(fp), pa.nulls(k, pa.binary())], names
             )
     if any_text:
-        rows = [(part, k, None, None, None, None, d) for k, d in sketch.slices()]
+        rows = [(part, k, None, None, None, None, None, d) for k, d in sketch.slices()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
 
@@ -141,12 +158,19 @@ def _emit_prefixes(batches: Iterator[pa.RecordBatch], estimates: Estimates, bits
             docs = docs[n[docs] > 0]
             if not len(docs):
                 continue
-            at, doc, shared = prefixes(value, first, estimates(value), docs)
+            codes = estimates(value)
+            at, doc, shared = prefixes(value, first, codes, docs)
             l_of = np.zeros(len(n), np.uint8)
             l_of[docs] = shared
             e = np.empty(len(at), ENTRY)
             e["t"], e["fp"], e["n"], e["l"] = value[at], fp[doc], n[doc], l_of[doc]
-            bucket = (e["t"] >> np.uint64(64 - bits)).astype(np.int64)
+            place = e["t"].copy()
+            heavy = np.flatnonzero(codes[at] >= HEAVY)
+            if len(heavy):  # a part of the list for each 2**15 of the estimate
+                e["l"][heavy] |= MARK
+                salt = mix(e["fp"][heavy].view(np.uint64)) % np.exp2(np.ceil(codes[at[heavy]] / 8.0) - 15).astype(np.uint64)
+                place[heavy] = mix(place[heavy] + salt)
+            bucket = (place >> np.uint64(64 - bits)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             e, bucket = e[order], bucket[order]
             edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(e)]])
@@ -166,7 +190,8 @@ def _read(n: int, data: bytes) -> np.ndarray:
 
 def _lists(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """One bucket's shingles that two different sets have in their prefixes:
-    a row for each member."""
+    a row for each member.  Of a list that is dealt over buckets every member is
+    kept, and its size is that of a long list whatever part of it is here."""
     e = np.concatenate([_read(n, d) for n, d in zip(rows["n"], rows["data"], strict=True)])
     e = e[np.lexsort((e["fp"], e["t"]))]
     new = np.ones(len(e), bool)
@@ -174,18 +199,21 @@ def _lists(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     e = e[new]
     group = np.concatenate([[0], np.cumsum(e["t"][1:] != e["t"][:-1])]) if len(e) else np.zeros(0, np.int64)
     size = np.bincount(group)[group] if len(e) else group
+    size = np.where(e["l"] & MARK > 0, np.maximum(size, SHORT + 1), size)
     e, size = e[size > 1], size[size > 1]
+    e["l"] &= MARK - 1
     return pd.DataFrame({"t": e["t"].view(np.int64), "fp": e["fp"], "n": e["n"].astype(np.int64), "l": e["l"].astype(np.int32), "size": size})
 
 
-def _sets(batches: Iterator[pa.RecordBatch], wanted) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], wanted: Repeated) -> Iterator[pa.RecordBatch]:
+    """Sets of the wanted texts; the filter may let others pass."""
     for whole in batches:
-        for batch in text_batches(whole):
+        keep = wanted(whole.column("key").to_numpy(zero_copy_only=False).view(np.uint64))
+        for batch in text_batches(whole.select(["text"]).filter(pa.array(keep))):
             value, first = shingle_sets(batch.column("text"))
             fp = fingerprints(value, first)
             docs = np.unique(fp, return_index=True)[1]
             docs = docs[(np.diff(first)[docs] > 0)]
-            docs = docs[wanted(fp[docs].view(np.uint64))]
             yield pa.RecordBatch.from_arrays([pa.array(fp[docs]), pa.array([value[first[i] : first[i + 1]].tobytes() for i in docs], pa.binary())], ["fp", "set"])
 
 
@@ -235,20 +263,10 @@ def _tile(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-class _Members:
-    """Which nodes may be wanted: a bitmap filter of fixed size."""
-
-    def __init__(self, slices: dict[int, bytes]):
-        self.filter = Repeated(slices, NODE_BITS)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        return self.filter(keys)
-
-
 def _note_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sketch, part, seen = Repeats(NODE_BITS), TaskContext.get().partitionId(), False
     for batch in batches:
-        keys = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+        keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
         if len(keys):
             sketch.add(np.concatenate([keys, keys]))  # twice: the filter knows what was counted twice
             seen = True
@@ -262,41 +280,63 @@ def _sized(a: Column, b: Column) -> Column:
     return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
 
 
+def text_key() -> Column:
+    return F.xxhash64(F.col("text").isNull(), "text")
+
+
 class Join:
     """Survey, prefixes and lists of one table of (doc_id, text)."""
 
     def __init__(self, docs: DataFrame):
-        self.docs = docs.select("doc_id", "text", F.xxhash64(F.col("text").isNull(), "text").alias("key"))
         self.spark = docs.sparkSession
-        survey = materialize(self.docs.mapInArrow(_survey, "part int, slice int, doc_id long, key long, n long, fp long, data binary"), "survey")
-        #: a row for each document: doc_id, key (of its text), n (shingles), fp (of its set)
-        self.documents = survey.where("slice = -1").select("doc_id", "key", "n", "fp")
+        bounded_batches(self.spark)
+        keyed = docs.select("doc_id", "text", text_key().alias("key"), row_key(docs)[2].alias("row"))
+        survey = materialize(keyed.mapInArrow(_survey, "part int, slice int, doc_id long, key long, row long, n long, fp long, data binary"), "survey")
+        #: a row for each document: doc_id, key (of its text), row (hash of the row), n (shingles), fp (of its set)
+        self.documents = survey.where("slice = -1").select("doc_id", "key", "row", "n", "fp")
         estimates = Estimates(merged(survey.where("slice >= 0").select("part", "slice", "data"), Counts), BITS)
-        total = self.documents.agg(F.sum("n")).first()[0] or 0
+        # one text stands for each set; sets that come once are the bulk, and their texts need no exchange
+        pairs = self.documents.where("n > 0").groupBy("fp", "key").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+        pairs = materialize(pairs, "pairs")
+        self.sets = materialize(pairs.groupBy("fp").agg(F.min("key").alias("key"), F.sum("copies").alias("copies"), F.first("n").alias("n")), "sets")
+        again = pairs.select("fp", "key").join(self.sets.where("copies > 1").select("fp", F.col("key").alias("chosen")), "fp")
+        again = materialize(again.select("key", (F.col("key") == F.col("chosen")).alias("chosen")), "again")
+        again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
+        texts = keyed.select("key", "text")
+        copies = materialize(texts.join(again.where("chosen"), "key", "left_semi").dropDuplicates(["key"]), "copies")
+        self.texts = texts.join(again, "key", "left_anti").unionByName(copies)
+        total = self.sets.agg(F.sum("n")).first()[0] or 0
         bits = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) - 1, total // (4 * PER_BUCKET)).bit_length()
-        shipped = self.spark.sparkContext.broadcast(estimates)
-        sent = self.docs.select("text").mapInArrow(lambda it: _emit_prefixes(it, shipped.value, bits), "bucket long, n long, data binary")
+        shipped = ship(self.spark, estimates)
+        sent = self.texts.select("text").mapInArrow(lambda it: _emit_prefixes(it, shipped.value, bits), "bucket long, n long, data binary")
         lists = sent.groupBy("bucket").applyInPandas(_lists, "t long, fp long, n long, l int, size long")
         self.lists = materialize(lists, "lists")
 
     def links(self) -> DataFrame:
         """Verified links (a, b) that connect exactly what all links connect."""
-        clusters = materialize(components(self._candidates()), "clusters")
-        wanted = _Members(merged(clusters.select(F.col("node").alias("fp")).mapInArrow(_note_nodes, "part int, slice int, data binary"), Repeats))
-        shipped = self.spark.sparkContext.broadcast(wanted)
-        sets = self.docs.select("text").mapInArrow(lambda it: _sets(it, shipped.value), "fp long, set binary").dropDuplicates(["fp"])
-        sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-        large = materialize(sizes.where(F.col("m") > BLOCK).select("root", F.ceil(F.col("m") / BLOCK).alias("blocks")), "large")
-        large = F.broadcast(large) if large.count() <= BROADCAST_CLUSTERS else large
-        bins = 1 + clusters.count() // BLOCK
-        nodes = clusters.join(large, "root", "left").select(F.col("node").alias("fp"), "root", F.coalesce("blocks", F.lit(1).cast("long")).alias("blocks"))
-        nodes = nodes.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-        # a node meets every block of its cluster once; clusters of one block share tasks
-        tiles = nodes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.col("root"))
-        tiles = tiles.select("fp", "root", (F.col("blocks") == 1).alias("small"), task.alias("task"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-        met = tiles.join(sets, "fp")
-        return met.groupBy("small", "task", "i", "j").applyInPandas(_tile, "a long, b long")
+        clusters = materialize(components(self._candidates()).withColumnRenamed("node", "fp").join(self.sets.select("fp", "key", "n"), "fp"), "clusters")
+        wanted = Repeated(merged(clusters.select("key").mapInArrow(_note_nodes, "part int, slice int, data binary"), Repeats), NODE_BITS)
+        shipped = ship(self.spark, wanted)
+        sets = self.texts.select("key", "text").mapInArrow(lambda it: _sets(it, shipped.value), "fp long, set binary")
+        sets = materialize(sets.join(clusters.select("fp", "root"), "fp").dropDuplicates(["fp"]), "members")
+        blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("k") / BLOCK_SHINGLES))
+        sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("k"))
+        large = materialize(sizes.select("root", "m", blocks.alias("blocks")).where("blocks > 1"), "large")
+        n_large, weight = large.count(), clusters.agg(F.count(F.lit(1)), F.sum("n")).first()
+        large = F.broadcast(large) if n_large <= BROADCAST_ROWS else large
+        bins = 1 + max(weight[0] // BLOCK, (weight[1] or 0) // BLOCK_SHINGLES)
+        zero = F.lit(0).cast("long")
+        # clusters of one block share tasks
+        tiles = sets.join(large, "root", "left_anti").select("*", F.lit("small").alias("kind"), F.pmod(F.xxhash64("root"), F.lit(bins)).alias("i"), zero.alias("j"))
+        if not n_large:
+            return _tiles(tiles)
+        members = sets.join(large, "root").withColumn("i", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+        # pivots are the least by a hash, one of each eighth: partial aggregates merge them
+        pivots = members.groupBy("root", "blocks", F.pmod(F.xxhash64("fp", F.lit(2)), F.lit(PIVOTS)).alias("of")).agg(F.min_by("fp", F.struct(F.xxhash64("fp", F.lit(1)), "fp")).alias("fp"))
+        pivots = materialize(pivots, "pivots").join(sets.select("fp", "set"), "fp").withColumn("i", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+        first = members.select("fp", "root", "set", "i").unionByName(pivots.select("fp", "root", "set", "i"))
+        forest = materialize(_tiles(tiles.unionByName(first.select("*", F.lit("first").alias("kind"), F.col("i").alias("j")))), "forest")
+        return forest.unionByName(_outer_links(members, forest))
 
     def _candidates(self) -> DataFrame:
         """Edges (a, b): pairs that share enough prefix shingles, and a star over
@@ -311,33 +351,69 @@ class Join:
         counted = counted.join(held.select(F.col("fp").alias("a"), F.col("held").alias("ha")), "a", "left").join(held.select(F.col("fp").alias("b"), F.col("held").alias("hb")), "b", "left")
         most = F.col("shared") + F.coalesce(F.least("ha", "hb"), F.lit(0))
         near = counted.where(F.when(F.col("ha").isNull() | F.col("hb").isNull(), F.col("shared")).otherwise(most) >= F.col("least")).select("a", "b")
-        # a pair that meets in long lists only has as many of them as the smaller L of the two
-        fewest = long.agg(F.min("l")).first()[0] or 1
-        able = long.join(held, "fp").where(F.col("held") >= F.least(F.col("l"), F.lit(fewest)))
-        hubs = able.groupBy("t").agg(F.min("fp").alias("b"))
-        stars = able.join(hubs, "t").select(F.col("fp").alias("a"), "b").where("a <> b").distinct()
-        return near.unionByName(stars)
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document; key (of its text)
-    and root (of its component) tell documents and components apart."""
+        # a pair that meets in long lists only shares as many of them as the smaller L of the two, and that is no less
+        # than the least of the list; per list and salt, so that no task holds a whole list
+        salted = long.join(held, "fp").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(STAR_SALTS)))
+        parts = salted.groupBy("t", "salt").agg(F.min("l").alias("least"), F.min("fp").alias("hub"))
+        lists = parts.groupBy("t").agg(F.min("least").alias("least"))
+        able = salted.join(parts.select("t", "salt").join(lists, "t"), ["t", "salt"]).where(F.col("held") >= F.least("l", "least"))
+        hubs = able.groupBy("t", "salt").agg(F.min("fp").alias("b"))
+        stars = able.join(hubs, ["t", "salt"]).select(F.col("fp").alias("a"), "b")
+        tops = hubs.join(hubs.groupBy("t").agg(F.min("b").alias("top")), "t").select(F.col("b").alias("a"), F.col("top").alias("b"))
+        return near.unionByName(stars.unionByName(tops).where("a <> b").distinct())
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Spanning forests of the links in each task: kind, i and j, and in large clusters root."""
+    task = F.when(F.col("kind") == "small", F.lit(0).cast("long")).otherwise(F.col("root")).alias("task")
+    return rows.select("fp", "root", "set", "kind", "i", "j", task).groupBy("kind", "task", "i", "j").applyInPandas(_tile, "a long, b long")
+
+
+def _outer_links(members: DataFrame, forest: DataFrame) -> DataFrame:
+    """Links of the documents of large clusters (fp, root, set, m, blocks, i) that
+    the forest leaves outside of the largest component of their cluster: each
+    meets all blocks of it."""
+    parts = components(forest.join(members.select(F.col("fp").alias("a")), "a", "left_semi")).select(F.col("node").alias("fp"), F.col("root").alias("part"))
+    parts = materialize(members.select("fp", "root").join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp")), "parts")
+    sizes = parts.groupBy("root", "part").agg(F.count(F.lit(1)).alias("held"))
+    main = sizes.groupBy("root").agg(F.max_by("part", F.struct("held", "part")).alias("main"), (F.sum("held") - F.max("held")).alias("left")).where("left > 0")
+    main = materialize(main, "main")
+    main = F.broadcast(main) if main.count() <= BROADCAST_ROWS else main
+    met = members.join(parts.select("fp", "part"), "fp").join(main, "root").withColumn("slots", F.ceil(F.col("blocks") * F.col("left") / F.col("m")))
+    zero = F.lit(0).cast("long")
+    every = met.withColumn("j", F.explode(F.sequence(zero, F.col("slots") - 1)))
+    outer = met.where("part <> main").withColumn("j", F.pmod(F.xxhash64("fp", F.lit(3)), F.col("slots"))).withColumn("i", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+    columns = ["fp", "root", "set", F.lit("outer").alias("kind"), "i", "j"]
+    return _tiles(every.select(*columns).unionByName(outer.select(*columns)))
+
+
+def _classes(docs: DataFrame) -> DataFrame:
     join = Join(docs)
     roots = materialize(components(join.links()), "roots")
     nodes = join.documents.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    nodes = nodes.withColumn("root", F.coalesce("root", "fp"))
+    nodes = materialize(nodes.withColumn("root", F.coalesce("root", "fp")), "nodes")
     named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     names = nodes.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
     out = join.documents.join(names, "fp", "left")
     alone = F.col("n") == 0
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "key", F.when(alone, F.col("key")).otherwise(F.col("root")).alias("root"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "row", F.when(alone, F.col("key")).otherwise(F.col("root")).alias("root"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document; row (a hash of the
+    row) and root (of its component) tell documents and components apart."""
+    return settled(lambda: _classes(docs), "classes")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest id; all columns
-    as they are.  Of repeated rows one stays; documents without shingles stay."""
-    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = found.groupBy("root", "doc_id").agg(F.min("key").alias("__ff_key")).select(F.coalesce("doc_id", F.lit(0)).alias("__ff_id"), F.col("doc_id").isNull().alias("__ff_no"), "__ff_key").distinct()
-    keys = ["__ff_id", "__ff_no", "__ff_key"]
-    keyed = docs.withColumns({"__ff_id": F.coalesce("doc_id", F.lit(0)), "__ff_no": F.col("doc_id").isNull(), "__ff_key": F.xxhash64(F.col("text").isNull(), "text")})
-    return keyed.join(keep, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    as they are.  Of rows with the same id and class the one with the least row
+    hash stays, of equal rows one; documents without shingles stay."""
+
+    def kept() -> DataFrame:
+        found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        keep = found.groupBy("root", "doc_id").agg(F.min("row").alias("__ff_key"))
+        return keep.select(F.coalesce("doc_id", F.lit(0)).alias("__ff_id"), F.col("doc_id").isNull().alias("__ff_no"), "__ff_key").distinct()
+
+    keep = settled(kept, "kept")
+    return docs.select("*", *row_key(docs)).join(keep, KEYS, "left_semi").dropDuplicates(KEYS).select(*docs.columns)

@@ -30,7 +30,7 @@ def op4_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("key", "root")
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row", "root")
 
 
 def op6_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:

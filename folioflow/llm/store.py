@@ -45,6 +45,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of few megabytes, so that workers hold little, unless the
+    session asks for even less."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    asked = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name, "64m"))
+    if asked > BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def ship(spark: SparkSession, value: object) -> Broadcast:
     """A broadcast of a value of bounded size."""
     _shipped.append(spark.sparkContext.broadcast(value))

@@ -36,7 +36,7 @@ _LONG = 64
 _TAIL = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
-def text_batches(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_batches(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text, one row at least."""
     sizes = np.diff(np.frombuffer(offsets(batch.column(column)), np.int64)) if batch.num_rows else np.zeros(0, np.int64)
     start, held = 0, 0

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -279,6 +280,53 @@ def test_long_lists_and_blocks(spark, monkeypatch):
     assert tally(got) == brute_components(rows)
 
 
+@pytest.mark.parametrize("block", [4, 16])
+def test_documents_outside_of_the_largest_component(spark, monkeypatch, block):
+    """One cluster of candidates that is several components: those of no pivot are found too."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 1)
+    monkeypatch.setattr(ngram_join.Join, "_candidates", lambda self: self.sets.select(F.col("fp").alias("a"), F.lit(0).cast("long").alias("b")).unionByName(self.sets.select(F.col("fp").alias("b"), F.lit(0).cast("long").alias("a"))))
+    rows = []
+    for g in range(9):
+        base = [f"g{g}_{i}" for i in range(70)]
+        for i in range(2 + 3 * g):
+            w = list(base)
+            for k in range(2):
+                w[(i * 11 + k * 31) % 70] = f"x{i}_{k}"
+            rows.append((1000 * g + i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = ngram_join.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()
+    assert tally(got) == brute_components(rows)
+
+
+def test_equal_sets_stand_for_each_other(spark):
+    """Copies, and texts that differ in white space and case only, across partitions."""
+    base = " ".join(f"w{i}" for i in range(50))
+    texts = [base, base.upper(), base.replace(" ", "\n"), base + " end", base.replace("w7", "zz")] * 8 + ["alone " * 3]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    join = ngram_join.Join(df)
+    assert join.texts.where("text <> ''").count() == join.sets.count() == 4
+    assert tally(ngram_join.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()) == brute_components(rows)
+
+
+def test_lists_dealt_over_buckets():
+    class Often:
+        def __call__(self, keys):
+            return np.full(len(keys), 8 * 18, np.uint8)
+
+    base = [f"w{i}" for i in range(30)]
+    texts = [" ".join([*base, f"x{i}"]) for i in range(400)]
+    out = list(ngram_join._emit_prefixes(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]), Often(), 10))
+    rows = [(b, n, d) for batch in out for b, n, d in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "data")), strict=True)]
+    by = collections.defaultdict(list)
+    for b, n, d in rows:
+        by[b].append((n, d))
+    lists = pd.concat([ngram_join._lists((b,), pd.DataFrame(v, columns=["n", "data"])) for b, v in by.items()])
+    assert (lists["size"] > ngram_join.SHORT).all() and (lists["l"] < ngram_join.MARK).all()
+    assert lists.groupby("t")["fp"].nunique().max() == 400  # no member is lost
+
+
 def test_prefixes_share_enough():
     rng = np.random.default_rng(3)
     for _ in range(200):
