@@ -395,6 +395,20 @@ def test_sharding(spark, sample, nothing, law):
     assert hilbert.shards(nothing, 7, law).count() == 0
 
 
+def test_sharding_renames_clashing_columns(spark, sample):
+    df, rows, _ = sample
+    out = hilbert.sharded(df, 5)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "extra", "input_size", "input_shard", "key", "size", "shard", "slot", "curve"]
+    assert tally(out.select("doc_id", "text", "lang", "source", "n_chars", "extra", "input_size", "input_shard", "key").collect()) == tally(rows)
+
+
+def test_partitions_split_a_hot_cell(spark):
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("the same text").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    for rows in (df, df.withColumn("doc_id", F.lit(None).cast("bigint")).withColumn("text", F.concat("text", F.rand(3).cast("string")))):
+        sizes = [r["count"] for r in hilbert.shards(rows, 4, partitions=8).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 6000 and max(sizes) < 2000
+
+
 def test_write_shards(spark, sample, tmp_path):
     hilbert.write_shards(sample[0], f"file://{tmp_path}/out", 4)
     back = spark.read.parquet(f"file://{tmp_path}/out")
@@ -416,14 +430,67 @@ def test_leaks(spark, sample, nothing):
     assert decontamination.leaks(nothing, items).count() == 0 and decontamination.leaks(df, items.limit(0)).count() == 0
 
 
-def test_blocks_cover_the_radius():
-    cuts = [64 * j // decontamination.BLOCKS for j in range(decontamination.BLOCKS + 1)]
+def test_blocks_find_all_within_the_radius(spark):
+    """Every pair of fingerprints within the radius meets, once per block that is near enough, and few others do."""
     rng = np.random.default_rng(1)
-    for _ in range(300):
+    rows = []
+    for i in range(600):
         x = rng.random(64) < 0.5
         y = x.copy()
-        y[rng.choice(64, decontamination.BLOCKS - 1, replace=False)] ^= True
-        assert any((x[a:b] == y[a:b]).all() for a, b in zip(cuts, cuts[1:], strict=False))
+        n = int(rng.integers(0, decontamination.RADIUS + 1)) if i < 300 else int(rng.integers(0, 64))
+        y[rng.choice(64, n, replace=False)] ^= True
+        rows.append((i, *[int(np.packbits(v, bitorder="little").view("<i8")[0]) for v in (x, y)]))
+    df = spark.createDataFrame(rows, "id bigint, x bigint, y bigint")
+    masks = decontamination.flips(spark)
+    assert masks.count() == sum(1 + w + w * (w - 1) // 2 for w in decontamination.WIDTHS)
+    x = decontamination.flipped(df.select("id", F.col("x").alias("simhash")), masks, "mx").drop("simhash")
+    y = decontamination.flipped(df.select("id", F.col("y").alias("simhash")), masks, "my").drop("simhash")
+    met = x.join(y, ["id", "block", "value"]).where(decontamination.once(F.col("mx"), F.col("my"))).groupBy("id").count().collect()
+    got = {r["id"]: r["count"] for r in met}
+    assert sum(w for w in decontamination.WIDTHS) == 64 and len(decontamination.WIDTHS) * (2 * decontamination.FLIPS + 1) > decontamination.RADIUS
+    for i, a, b in rows:
+        d, at, expected = (a ^ b) % (1 << 64), 0, 0
+        for w in decontamination.WIDTHS:
+            expected += (d >> at & ((1 << w) - 1)).bit_count() <= 2 * decontamination.FLIPS
+            at += w
+        assert got.get(i, 0) == expected and (expected or d.bit_count() > decontamination.RADIUS)
+    chance = sum(sum(math.comb(w, k) for k in range(2 * decontamination.FLIPS + 1)) / 2**w for w in decontamination.WIDTHS)
+    assert chance < 0.01
+
+
+def weighted(a, b):
+    x, y = (collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (a, b))
+    low = sum((x & y).values())
+    return low, sum(x.values()) + sum(y.values()) - low
+
+
+def test_recall_against_brute_force_over_all_windows(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    some = lambda n: rng.choice(vocabulary, n).tolist()
+    items = [(i, some(int(rng.integers(25, 80)))) for i in range(60)]
+    docs = []
+    for i in range(240):
+        own = list(items[i % 60][1])
+        for _ in range(int(rng.integers(0, 3))):
+            own[int(rng.choice([0, 1, 2, 3, len(own) - 1, len(own) - 2, int(rng.integers(0, len(own)))]))] = "zz"
+        docs.append((i, some(int(rng.integers(0, 60))) + own + some(int(rng.integers(0, 60)))))
+    expected, border = set(), set()
+    for d, w in docs:
+        for i, own in items:
+            if len(set(w) & set(own)) < 10:
+                continue
+            m = len(own)
+            for at in range(-m + 5, len(w) - 4):
+                low, high = weighted(w[max(at, 0) : min(at + m, len(w))], own)
+                if 100 * low >= 80 * high:
+                    expected.add((d, i))
+                    border |= {(d, i)} if 100 * low < 90 * high else set()
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(
+        spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id bigint, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    ).collect()}
+    assert got <= expected and len(expected) > 150 and len(border) > 30
+    assert len(got) >= 0.95 * len(expected) and len(got & border) >= 0.9 * len(border)
 
 
 # 9
