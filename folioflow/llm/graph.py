@@ -19,6 +19,10 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return salted.join(low, ["a", "salt"])
 
 
+def _checksum(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: bigint): the smallest
     node that it reaches.
@@ -31,7 +35,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     loops and repeated edges count once; edges with a null end must be left out."""
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = materialize(e, "edges")
-    last = None
+    last = _checksum(e)
     for _ in range(max_rounds):
         # large star: neighbours above a node hang on its smallest neighbour
         both = _with_least(e.union(e.select("b", "a")))
@@ -40,10 +44,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         below = _with_least(large)
         small = below.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(below.select("a", F.col("m").alias("b"))).distinct()
         e = materialize(small, "edges")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == last:
+        now = _checksum(e)
+        if now == last:
             break
-        last = tuple(now)
+        last = now
     else:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))

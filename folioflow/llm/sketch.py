@@ -13,7 +13,7 @@ commutative, so partitioning and retries do not change a sketch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,6 @@ from .words import mix
 ROWS = 2
 SLICE_BITS = 17
 FAN_IN_BITS = 6
-LEVELS = 3
 _SEEDS = tuple(np.uint64(s) for s in (0x8BB84B93962EACC9, 0x2D358DCCAA6C78A5))
 
 
@@ -116,15 +115,15 @@ class Counts:
 def merged(partials: DataFrame, kind: type) -> dict[int, bytes]:
     """Slices of the whole sketch from rows (part int, slice int, data binary)."""
 
-    def join(level: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"part": [key[1]], "slice": [key[0]], "data": [kind.merge(iter(rows["data"]))]})
+    def join(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [key[1]], "slice": [key[0]], "data": [kind.merge(iter(rows["data"]))]})
 
-        return run
-
-    for level in range(LEVELS):
-        up = F.shiftright("part", FAN_IN_BITS).alias("up") if level < LEVELS - 1 else F.lit(0).alias("up")
-        partials = partials.groupBy("slice", up).applyInPandas(join(level), "part int, slice int, data binary")
+    last = partials.agg(F.max("part")).first()[0] or 0
+    while True:
+        partials = partials.groupBy("slice", F.shiftright("part", FAN_IN_BITS).alias("up")).applyInPandas(join, "part int, slice int, data binary")
+        last >>= FAN_IN_BITS
+        if not last:
+            break
     return {int(r["slice"]): bytes(r["data"]) for r in partials.select("slice", "data").collect()}
 
 
