@@ -34,6 +34,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .store import bounded_batches
 from .words import text_batches
 
 # HTML element names, roles and class-name words.
@@ -334,4 +335,5 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
+    bounded_batches(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInArrow(_run, "page_id long, url string, text string, n_chars long")

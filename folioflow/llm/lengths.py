@@ -9,7 +9,8 @@ rows as there are different lengths, whatever the number of documents.
 The vocabulary file is a parameter; the driver reads it and ships its ranks (one
 fixed-size table) with the task, so executors need no local copy.
 
-A null or empty text has 0 tokens.  Ids play no part, repeated rows count again,
+A null or empty text has 0 tokens; a very long one is encoded whole.  Ids and other
+columns play no part, repeated rows count again, texts of one length share a row,
 and an empty table gives an empty histogram.
 """
 
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import bounded_batches, ship
 from .words import text_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -45,7 +47,8 @@ def encoder(data: bytes, pattern: str):
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """One row per document: n_tokens."""
     with open(vocabulary, "rb") as f:
-        shipped = docs.sparkSession.sparkContext.broadcast(f.read())
+        shipped = ship(docs.sparkSession, f.read())
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shipped.value, pattern).encode_ordinary

@@ -13,9 +13,14 @@ Native.  A hot line meets in partial aggregates only.  The set of frequent lines
 is broadcast if its counted size is small (``BROADCAST_LINES``), else joined by
 exchange.  Texts travel once, to meet the places of their own bad lines.
 
+Lines are compared by a 64-bit hash: among ``N`` distinct lines about ``N**2 / 2**65``
+pairs would be taken for equal.
+
 Nulls: a null text has no lines, null sites are one site of their own, null ids
-are kept; repeated rows lose the same lines.  An empty table gives an empty
-result.
+are kept; repeated rows lose the same lines.  A line on exactly ``min_sites`` sites
+is boilerplate.  A very long text is one row with many lines.  An empty table gives
+an empty result.  Other columns play no part; names that start with ``__ff_`` are
+taken.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import materialize, settled
 
 LG_K = 10
 #: Relative half-width of "near": over six standard errors of 2**10 registers.
@@ -65,7 +70,7 @@ def spread(docs: DataFrame, min_sites: int) -> DataFrame:
 
 def without_boilerplate(docs: DataFrame, min_sites: int = 10) -> DataFrame:
     """doc_id, n_lines, n_removed and the text that is left."""
-    bad = materialize(spread(docs, min_sites), "boilerplate")
+    bad = settled(lambda: spread(docs, min_sites), "boilerplate")
     small = bad.count() <= BROADCAST_LINES
     keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(0)).alias("__ff_id"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("__ff_key"))
     places = keyed.select("__ff_id", "__ff_key", F.posexplode(_lines(F.col("text"))).alias("pos", "line")).where(F.col("line").rlike(_HAS_WORD))

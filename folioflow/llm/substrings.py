@@ -13,8 +13,9 @@ occurs everywhere sends one row per batch.  Buckets follow the corpus size.
 
 Nulls: a null text has no words; a null doc_id comes before all others.  Rows
 with the same doc_id are the same document: equal starts are the same place and
-neither precedes the other.  Texts shorter than a window lose nothing.  An empty
-table gives an empty result.
+neither precedes the other.  Texts shorter than a window lose nothing; a very long
+one is one row of windows.  An empty table gives an empty result.  Other columns
+play no part.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sketch import Repeated, Repeats, merged, pack, unpack
-from .store import materialize
+from .store import bounded_batches, materialize, settled, ship
 from .words import Words, document_windows, text_batches, windows
 
 WINDOW = 20
@@ -200,7 +201,7 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     n = partials.agg(F.sum("n")).first()[0] or 0
     repeated = Repeated(merged(partials.where("slice >= 0").drop("n"), Repeats), BITS)
     spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(repeated)
+    shipped = ship(spark, repeated)
     bits = max(int(spark.conf.get("spark.sql.shuffle.partitions")) - 1, n // PER_BUCKET).bit_length()
     asked = docs.select("id", "key", "text").mapInArrow(lambda it: _collect(it, shipped.value, bits), _ROWS)
     answered = asked.groupBy("kind", "bucket").applyInPandas(_answer, _ROWS)
@@ -236,8 +237,9 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     keyed = docs.select("doc_id", "text", F.col("doc_id").alias("id"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("key"))
-    starts = repeated_starts(keyed.select("id", "key", "text")).dropDuplicates(["id", "key"])
+    starts = settled(lambda: repeated_starts(keyed.select("id", "key", "text")).dropDuplicates(["id", "key"]), "starts")
     keyed = keyed.withColumn("id", F.coalesce("id", F.lit(FIRST)))
     return keyed.join(starts, ["id", "key"], "left").select("doc_id", "text", "starts")
 

@@ -15,6 +15,9 @@ The table has a fixed size whatever the corpus.
 
 A null or empty text has no features and gets the model's prior.  Null ids count
 as the empty string in the fold rule.  Without training rows every score is 0.5.
+A very long text is scored whole.  Repeated rows are scored alike and trained on
+once; a label that comes twice counts by its first row.  An empty table gives an
+empty result; a score of exactly 0.5 is class 1.  Other columns play no part.
 """
 
 from __future__ import annotations
@@ -23,9 +26,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import bounded_batches
 from .words import Words, mix, text_batches
 
 BITS = 18
@@ -175,6 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_bytes: i
 
 def scorer(model: Model):
     """A vectorised column function: text -> probability of class 1."""
+    bounded_batches(SparkSession.active())
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:

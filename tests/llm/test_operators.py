@@ -122,6 +122,59 @@ def test_mcd_resists_contamination():
     assert d[:120].min() > outliers.chi2_quantile(1 - 1e-7, 7) > d[120:].max()
 
 
+def brute_verdicts(rows):
+    """kept by one MCD of each group, whatever its size."""
+    s = [outliers.statistics(pa.array([r[1]])) for r in rows]
+    groups = collections.defaultdict(list)
+    for i, r in enumerate(rows):
+        n, repeated = int(s[i]["n_words"][0]), int(s[i]["n_repeat_words"][0])
+        if n >= 50 and 100 * repeated <= 50 * n:
+            groups[r[2], r[3]].append(i)
+    small = [g for g in groups if len(groups[g]) < outliers.MIN_GROUP]
+    for lang in {g[0] for g in small}:
+        pool = [i for g in small if g[0] == lang for i in groups[g]]
+        key = (lang,) if len(pool) >= outliers.MIN_GROUP else "*"
+        groups[key] = groups.get(key, []) + pool
+    out = {}
+    for g, own in groups.items():
+        if g in small:
+            continue
+        x = np.concatenate([outliers.features(s[i]) for i in own])
+        m, scatter = outliers.mcd(x[np.lexsort(x.T[::-1])])
+        out |= {rows[i][0]: float(d) for i, d in zip(own, outliers._distances(x, m, scatter), strict=True)}
+    return out
+
+
+def outlier_rows(counts):
+    rng, rows = np.random.default_rng(4), []
+    for (lang, source), n in counts.items():
+        letters, shape = list("abcdefghijklmnop"[: 6 + len(source)]), 3 + len(lang)
+        for _ in range(n):
+            words = ["".join(rng.choice(letters, int(rng.integers(2, shape + 4)))) + ("," if rng.random() < 0.1 else "") for _ in range(int(rng.integers(55, 90)))]
+            if rng.random() < 0.04:
+                words = [w + "###" for w in words]
+            rows.append((len(rows), " ".join(words), lang, source))
+    return rows
+
+
+def test_verdicts_against_brute_force(spark):
+    """Groups of one block, of several, and pooled ones."""
+    rows = outlier_rows({("en", "a"): 60, ("en", "bb"): 5000, ("de", "a"): 30, ("de", "bb"): 25, ("fr", "a"): 7})
+    got = {r["doc_id"]: r for r in outliers.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    expected = brute_verdicts(rows)
+    cut = outliers.chi2_quantile(1 - 1e-7, 7)
+    assert {i for i, r in got.items() if not r["base_failed"]} == set(expected)
+    for i, d in expected.items():
+        if rows[i][3] != "bb" or rows[i][2] != "en":
+            assert got[i]["distance"] == pytest.approx(d, rel=1e-6)
+            assert got[i]["kept"] == (d <= cut)
+    large = [i for i in expected if rows[i][2:] == ("en", "bb")]
+    assert sum(got[i]["kept"] == (expected[i] <= cut) for i in large) >= 0.999 * len(large)
+    assert np.median([abs(got[i]["distance"] - expected[i]) / (1 + expected[i]) for i in large]) < 0.05
+    junk = [i for i in expected if "###" in rows[i][1]]
+    assert not any(got[i]["kept"] for i in junk) and sum(r["kept"] for r in got.values()) >= 0.99 * (len(expected) - len(junk))
+
+
 def test_outliers_small_and_empty(spark, nothing):
     assert outliers.quality_rules(nothing).count() == 0
     assert abs(outliers.chi2_quantile(0.975, 7) - 16.013) < 0.1
