@@ -102,3 +102,8 @@ def backoff_until(now: Column, failures: Column, start: int = 3, first_minutes:
     """Time of the next try: 5 * 3**(failures - 3) minutes on, 120 at most."""
     minutes = F.least(F.lit(float(most)), first_minutes * F.pow(F.lit(float(factor)), F.greatest(failures - start, F.lit(0))))
     return F.timestamp_add("MINUTE", minutes.cast("int"), now)
+
+
+def retry_delay(first: Column, tries: Column, factor: float, most: float) -> Column:
+    """Seconds before the next try: ``first`` times ``factor`` per try, ``most`` at most."""
+    return F.least(F.lit(most), first * F.pow(F.lit(factor), tries))

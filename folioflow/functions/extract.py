@@ -155,6 +155,7 @@ def status_record(relations: DataFrame) -> DataFrame:
 
 def salvage_json(c: Column, schema: str = "corrected string, confidence double") -> Column:
     """The object between the first { and the last } of a reply; confidence is
-    held to 0..1 and 0 if absent."""
-    x = F.from_json(F.regexp_extract(c, r"(\{[\s\S]*\})", 1), schema)
-    return F.struct(x["corrected"].alias("corrected"), F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x["confidence"])), F.lit(0.0)).alias("confidence"))
+    held to 0..1 and 0.5 if absent.  Both are null if there is no object."""
+    x = F.from_json(F.nullif(F.regexp_extract(c, r"(\{[\s\S]*\})", 1), F.lit("")), schema)
+    sure = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(x["confidence"], F.lit(0.5))))
+    return F.struct(x["corrected"].alias("corrected"), F.when(x.isNotNull(), sure).alias("confidence"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Terms of legal prose and structure marks with weights.
@@ -16,8 +16,10 @@ BROKEN = [r"(?i)[bcdfghjklmnpqrstvwxyz]{4,}", r"(?i)\d[O0Il]{2,}\d", r"(?U)[^\w\
 LINE_MARKS = [r"(?im)^pasal\s+\d+", r"(?m)^\(\d+\)", r"(?im)^[a-z]\.", r"(?im)^bab\s+[ivxlcdm]+", r"(?imU)^bagian\s+\w+", r"(?im)^ayat\s+\(\d+\)"]
 
 
-def _terms() -> Column:
-    return F.array(*[F.lit(t) for t in LEGAL_TERMS])
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a lambda's variable is never
+    copied into the places where it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _latin_words(c: Column) -> Column:
@@ -30,14 +32,12 @@ def _part(found: Column, words: Column) -> Column:
 
 def word_recognition_rate(c: Column) -> Column:
     """Words of three letters or more with a vowel, or legal terms."""
-    words = _latin_words(c)
-    return _part(F.filter(words, lambda w: ((F.length(w) >= 3) & w.rlike("[aeiou]")) | F.array_contains(_terms(), w)), words)
+    return _bound(_latin_words(c), lambda words: _part(F.filter(words, lambda w: ((F.length(w) >= 3) & w.rlike("[aeiou]")) | w.isin(*LEGAL_TERMS)), words))
 
 
 def legal_term_rate(c: Column) -> Column:
     """Words are runs of letters, so hyphenated terms never match."""
-    words = _latin_words(c)
-    return _part(F.filter(words, lambda w: F.array_contains(_terms(), w)), words)
+    return _bound(_latin_words(c), lambda words: _part(F.filter(words, lambda w: w.isin(*LEGAL_TERMS)), words))
 
 
 def broken_char_ratio(c: Column) -> Column:
@@ -92,19 +92,17 @@ def page_score(c: Column, vocabulary: list[str] | None = None) -> Column:
     alpha = F.length(F.regexp_replace(c, r"(?U)[^\p{L}]", "")) / n
     broken = F.aggregate(F.regexp_extract_all(c, F.lit("([�■□▪▫]{2,}|\\?{3,}|_{5,})"), F.lit(1)), F.lit(0), lambda k, m: k + F.length(m)) / n
     words = F.regexp_extract_all(F.replace(F.lower(c), F.lit("-"), F.lit(" ")), F.lit("(?U)\\b([a-zÀ-ɏ]{2,})\\b"))
-    known = F.array(*[F.lit(w) for w in (vocabulary or LEGAL_TERMS)])
-    word = _part(F.filter(words, lambda w: F.array_contains(known, w)), words)
-    legal = F.least(_part(F.filter(words, lambda w: F.array_contains(_terms(), w)), words) * 10, F.lit(1.0))
-    score = 0.2 * alpha + 0.3 * (1 - broken) + 0.3 * word + 0.2 * legal
-    strategy = (
-        F.when(n < 5, "ocr")
-        .when(n < 20, F.when((alpha > 0.7) & (broken < 0.1), "text").otherwise("hybrid"))
-        .when(score >= 0.75, "text")
-        .when(score >= 0.45, "hybrid")
-        .otherwise("ocr")
-    )
+    part = lambda own, known: _part(F.filter(own, lambda w: w.isin(*known)), own)
+    rates = _bound(words, lambda own: F.struct(part(own, vocabulary or LEGAL_TERMS).alias("word"), F.least(part(own, LEGAL_TERMS) * 10, F.lit(1.0)).alias("legal")))
+    parts = F.struct(alpha.alias("alpha"), broken.alias("broken"), rates.alias("r"))
     blank = F.coalesce(F.trim(c), F.lit("")) == ""
-    return F.struct(F.when(blank, 0.0).otherwise(score).alias("score"), F.when(blank, "ocr").otherwise(strategy).alias("strategy"))
+
+    def judged(x: Column) -> Column:
+        score = 0.2 * x["alpha"] + 0.3 * (1 - x["broken"]) + 0.3 * x["r"]["word"] + 0.2 * x["r"]["legal"]
+        strategy = F.when(n < 5, "ocr").when(n < 20, F.when((x["alpha"] > 0.7) & (x["broken"] < 0.1), "text").otherwise("hybrid")).when(score >= 0.75, "text").when(score >= 0.45, "hybrid").otherwise("ocr")
+        return F.struct(F.when(blank, 0.0).otherwise(score).alias("score"), F.when(blank, "ocr").otherwise(strategy).alias("strategy"))
+
+    return _bound(parts, judged)
 
 
 def year_thresholds(year: Column) -> Column:
@@ -118,19 +116,25 @@ def validation(c: Column, confidences: Column, year: Column, vocabulary: list[st
     terms 15 and structure 5 percent; below ``min_words`` words it fails."""
     clean = F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"(?U)[^\w\s-]", " "), r"(?U)\s+", " "))
     words = F.filter(F.split(clean, " "), lambda w: (F.length(w) > 1) & ~w.rlike(r"^\d+$"))
-    n = F.size(words)
     low = F.size(F.filter(confidences, lambda x: x < 0.8)) / F.size(confidences)
     mean = F.aggregate(confidences, F.lit(0.0), lambda a, x: a + x) / F.size(confidences) * 100
     confidence = F.when(F.size(confidences) == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(100.0), mean - low * 10)))
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    credit = F.aggregate(words, F.lit(0.0), lambda a, w: a + F.when(F.array_contains(known, w) | w.rlike(r"\d"), 1.0).when(F.length(w) >= 4, 0.7).otherwise(0.0))
-    terms = F.size(F.array_distinct(F.filter(words, lambda w: F.array_contains(_terms(), w))))
+
+    def counted(own: Column) -> Column:
+        credit = F.aggregate(own, F.lit(0.0), lambda a, w: a + F.when(w.isin(*vocabulary) | w.rlike(r"\d"), 1.0).when(F.length(w) >= 4, 0.7).otherwise(0.0))
+        return F.struct(F.size(own).alias("n"), credit.alias("credit"), F.size(F.array_distinct(F.filter(own, lambda w: w.isin(*LEGAL_TERMS)))).alias("terms"))
+
     marks = sum((F.least(F.regexp_count(c, F.lit(p)), F.lit(5)) for p in LINE_MARKS), F.lit(0))
-    score = confidence * 0.45 + credit / n * 100 * 0.35 + F.least(terms / 10 * 100, F.lit(100.0)) * 0.15 + F.least(marks / 15 * 100, F.lit(100.0)) * 0.05
-    limits = year_thresholds(year)
-    grade = F.when(score >= limits["pass_at"], "PASS").when(score >= limits["warn_at"], "WARNING").otherwise("FAIL")
-    short = n < min_words
-    return F.struct(F.when(short, "FAIL").otherwise(grade).alias("grade"), F.when(short, 0.0).otherwise(score).alias("score"), n.alias("n_words"), terms.alias("terms"), marks.alias("marks"))
+    parts = F.struct(_bound(words, counted).alias("w"), marks.alias("marks"), confidence.alias("confidence"), year_thresholds(year).alias("limits"))
+
+    def graded(x: Column) -> Column:
+        n = x["w"]["n"]
+        score = x["confidence"] * 0.45 + x["w"]["credit"] / n * 100 * 0.35 + F.least(x["w"]["terms"] / 10 * 100, F.lit(100.0)) * 0.15 + F.least(x["marks"] / 15 * 100, F.lit(100.0)) * 0.05
+        grade = F.when(score >= x["limits"]["pass_at"], "PASS").when(score >= x["limits"]["warn_at"], "WARNING").otherwise("FAIL")
+        short = n < min_words
+        return F.struct(F.when(short, "FAIL").otherwise(grade).alias("grade"), F.when(short, 0.0).otherwise(score).alias("score"), n.alias("n_words"), x["w"]["terms"].alias("terms"), x["marks"].alias("marks"))
+
+    return _bound(parts, graded)
 
 
 def simple_quality(c: Column) -> Column:
@@ -160,16 +164,26 @@ def density_flags(n_chars_per_page: Column, n_pages: Column, text: Column, repea
     return F.struct(score.alias("score"), flags.alias("flags"), (sparse | (thin & ~article) | (score < 50)).alias("needs_ocr"))
 
 
-def nearest_rank(values: Column, p: float) -> Column:
-    """Element at the half-even rounded rank of the sorted values, 0 if none."""
-    s = F.array_sort(values)
-    return F.when(F.size(s) > 0, F.get(s, F.bround((F.size(s) - 1) * F.lit(p), 0).cast("int"))).otherwise(0.0)
+def nearest_rank(counted: DataFrame, key: str, value: str, p: float) -> DataFrame:
+    """key, value: the element of each key at the half-even rounded rank
+    ``(n - 1) * p`` of its sorted values, from rows counted per value."""
+    order = Window.partitionBy(key).orderBy(value)
+    placed = counted.withColumn("__upto", F.sum("n").over(order)).withColumn("__at", F.bround((F.sum("n").over(Window.partitionBy(key)) - 1) * F.lit(p), 0))
+    return placed.where((F.col("__upto") > F.col("__at")) & (F.col("__upto") - F.col("n") <= F.col("__at"))).select(key, value)
+
 
+def low_confidence_pages(lines: DataFrame, key: str, at: str, confidence: str, per_page: int = 50, below: float = 0.85, buckets: int = 1 << 20) -> DataFrame:
+    """key, page: pages of ``per_page`` lines with a line below the threshold.
 
-def low_confidence_pages(confidences: Column, per_page: int = 50, below: float = 0.85) -> Column:
-    """Pages (line index over ``per_page``) with a line below the threshold."""
-    marked = F.transform(confidences, lambda x, i: F.when(x < below, F.floor(i / per_page)))
-    return F.array_sort(F.array_distinct(F.array_compact(marked)))
+    The place of a line comes from the counts of runs of ``buckets`` values of
+    ``at`` before it and its place in its own run, so no task holds a whole key."""
+    run = lines.withColumn("__run", F.floor(F.col(at) / buckets))
+    counts = run.groupBy(key, "__run").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(key).orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(key, "__run", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy(key, "__run").orderBy(at)) - 1
+    placed = run.withColumn("__inside", inside).where(F.col(confidence) < below).join(counts, [key, "__run"])
+    return placed.select(key, F.floor((F.col("__before") + F.col("__inside")) / per_page).alias("page")).distinct()
 
 
 def progress_percent(done: Column, total: Column) -> Column:

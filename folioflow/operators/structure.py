@@ -6,7 +6,7 @@ import re
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectorized import vectorized
@@ -93,6 +93,12 @@ def articles(docs: DataFrame, key: str) -> DataFrame:
     return loose.unionByName(inside).select(key, "chapter", "a.*")
 
 
+def article_form(paragraphs: Column) -> Column:
+    """How an article is laid out: "points" (without numbered paragraphs),
+    "paragraphs" or "plain"."""
+    return F.when(F.size(paragraphs) == 0, "plain").when(F.get(paragraphs, F.lit(0))["number"] == 0, "points").otherwise("paragraphs")
+
+
 def totals(docs: DataFrame, key: str) -> DataFrame:
     """Articles, paragraphs and points of each document."""
     a = articles(docs, key)

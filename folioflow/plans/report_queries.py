@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import extract, html, records, text
 from ..functions.nulls import count_if, share
+from ..functions.quality import LEGAL_TERMS
 from ..operators import cluster
 from ..operators import graph as G
 from ..operators import stats as S
 from ..sources import sinks
 from ..sources.tables import CATALOG_SQL, catalog, table
 from .registry import query
-from .text_queries import prose
 
 W = f"with {CATALOG_SQL} "
 
@@ -94,12 +94,6 @@ def _(s, d):
     return table(s, d, "documents").select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.*")
 
 
-@query("pf23_folders")
-def _(s, d):
-    kinds = s.createDataFrame([("UNDANG-UNDANG",), ("PERATURAN MENTERI",), ("X",)], "kind string")
-    return kinds.select("kind", records.folder(F.col("kind")).alias("folder"))
-
-
 @query("pf24_download_eligible", W + "select slug from catalog where pdf_url is not null and pdf_url not in ('', 'NO_PDF') and (local_path is null or owner % 10 = 0)")
 def _(s, d):
     size = F.when(F.col("local_path").isNull(), None).when(F.col("owner") % 10 == 0, 0).otherwise(10)
@@ -126,7 +120,11 @@ def _(s, d):
     return table(s, d, "conversations").groupBy("conv_id").agg(records.is_scanned(F.sum(F.length("text")), F.count(F.lit(1))).alias("scanned"))
 
 
-@query("f39_word_analysis")
+def _quoted(words):
+    return "(" + ", ".join(f"'{w}'" for w in sorted(words)) + ")"
+
+
+@query("f39_word_analysis", "with w as (select doc_id, regexp_extract_all(lower(text), '[a-z]+') as w from documents), n as (select doc_id, len(w)::int as total, len(list_filter(w, lambda x: x in KNOWN))::int as known, len(list_filter(w, lambda x: x in LEGAL))::int as legal, len(list_filter(w, lambda x: x in STOP))::int as stop from w) select *, coalesce(known::double / nullif(total, 0), 0) as share from n".replace("KNOWN", _quoted(text.CORE_WORDS | set(LEGAL_TERMS))).replace("LEGAL", _quoted(LEGAL_TERMS)).replace("STOP", _quoted(records.STOPWORDS)))
 def _(s, d):
     return table(s, d, "documents").select("doc_id", records.word_analysis(F.col("text")).alias("a")).select("doc_id", "a.*")
 
@@ -136,34 +134,17 @@ def _(s, d):
     return table(s, d, "orders").select("o_orderkey", records.document_uri(F.col("o_orderpriority"), F.year("o_orderdate"), F.col("o_custkey"), "expression").alias("uri"))
 
 
-@query("f50_f55_explanations")
-def _(s, d):
-    law = "UU ...\nPENJELASAN\nI. UMUM\nUmum.\nPasal 1\nCukup jelas.\nPasal 2\nYang dimaksud\ndengan x."
-    return records.explanations(s.createDataFrame([("a", law), ("b", "none")], "slug string, text string"))
-
-
-@query("f51_constitution_versions")
-def _(s, d):
-    rows = s.createDataFrame([("UUD%201945%20Perubahan%20Ketiga.pdf",), ("UUD 1945.pdf",), ("perubahan pertama.pdf",)], "name string")
-    return rows.select("name", records.constitution_version(F.col("name")).alias("version"))
-
-
-@query("f52_years_in_urls")
+@query("f52_years_in_urls", r"with y as (select page_id, [try_cast(regexp_extract(url, '(?i)tahun[-_ ]?(\d{4})', 1) as int), try_cast(regexp_extract(url, '[-_ ](\d{4})(?:[-_. ]|$)', 1) as int), try_cast(regexp_extract(url, '(\d{4})', 1) as int)] as y from pages) select page_id, list_filter(y, lambda x: x between 1900 and 2100)[1] as year from y")
 def _(s, d):
     return table(s, d, "pages").select("page_id", text.year_in_name(F.col("url")).alias("year"))
 
 
-@query("f53_line_categories")
+@query("f53_line_categories", r"with l as (select trim(unnest(string_split(text, chr(10))), ' ') as s from documents) select case when regexp_matches(s, '^-?\s*\d{1,4}\s*-?$') then 'page_number' when regexp_matches(s, '(?i)^(?:presiden|republik|menteri)') then 'institution' when regexp_matches(s, '(?i)nomor|tahun') then 'number' when regexp_matches(s, '(?i)www\.|http') then 'url' when upper(s) = s and length(s) > 3 then 'heading' else 'text' end as category, count(*) as n from l group by 1")
 def _(s, d):
     lines = table(s, d, "documents").select(F.explode(F.split("text", "\n", -1)).alias("line"))
     return lines.groupBy(text.line_category(F.col("line")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f57_f62_flags")
-def _(s, d):
-    return prose(s).select("slug", records.text_flags(records.strip_stamps(F.col("text"))).alias("f")).select("slug", "f.*")
-
-
 @query("n14_nested_histogram", "select lang, sum(n)::bigint as total, string_agg(bucket || '=' || n, ',' order by bucket) as histogram from (select lang, case when n_chars < 1000 then 'a' when n_chars < 5000 then 'b' else 'c' end as bucket, count(*) as n from documents group by 1, 2) group by 1")
 def _(s, d):
     bucket = F.when(F.col("n_chars") < 1000, "a").when(F.col("n_chars") < 5000, "b").otherwise("c").alias("bucket")
@@ -173,19 +154,6 @@ def _(s, d):
     return nested.select("lang", "total", F.array_join(F.transform(F.map_entries("m"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("histogram"))
 
 
-@query("n15_reference_graph")
-def _(s, d):
-    refs = extract.text_relations(prose(s)).select(F.col("slug").alias("src"), F.col("target").alias("dst"), "rel_type")
-    nodes, edges = G.nodes_and_edges(prose(s), refs)
-    return nodes.join(edges.select(F.col("dst").alias("id"), "rel_type").distinct(), "id", "left")
-
-
-@query("n19_n21_tags")
-def _(s, d):
-    found = extract.text_relations(prose(s), keep_unparsed=True).where("rel_type <> 'MENGIMPLEMENTASI'")
-    return found.groupBy("slug", "rel_type").agg(F.count(F.lit(1)).alias("n"), F.max("raw").alias("raw"))
-
-
 @query("w8_running_alignment", "select conv_id, turn, (sum(length(text)) over (partition by conv_id order by turn, role rows between unbounded preceding and current row) - length(text))::bigint as starts_at from conversations")
 def _(s, d):
     w = Window.partitionBy("conv_id").orderBy("turn", "role").rowsBetween(Window.unboundedPreceding, 0)
@@ -193,17 +161,7 @@ def _(s, d):
     return table(s, d, "conversations").select("conv_id", "turn", (F.sum(n).over(w) - n).alias("starts_at"))
 
 
-LIST_PAGE = '<p>Menampilkan 1 - 20 dari 1.234 peraturan</p><a href="/id/uu-no-1-tahun-2020/">a</a><a href="/id/uu-no-1-tahun-2020/">again</a><a href="#">x</a><a href="https://h.example/id/pp-no-2">b</a><meta name="article:tag" content="/files/x y.pdf"><ul class="pagination"><a href="?p=1">1</a><a href="?p=7">7</a></ul>'
-
-
-@query("f2_f7_list_page")
-def _(s, d):
-    p = F.col("html")
-    rows = s.createDataFrame([("list", LIST_PAGE), ("empty", "")], "name string, html string")
-    return rows.select("name", html.total_count(p).alias("total"), html.last_page(p).alias("last_page"), F.array_join(html.record_links(p), " ").alias("links"), html.pdf_url(p, "https://h").alias("pdf"), F.array_join(html.all_pdf_urls(p, "https://h"), " ").alias("pdfs"))
-
-
-@query("m3_histogram", "with v as (select vec_id, list_transform(embedding[1:32], lambda x: (abs(floor(x * 1000))::bigint % 256)) as p from embeddings) select vec_id, len(list_filter(p, lambda x: x < 16))::double / len(p) as first_bin, len(list_filter(p, lambda x: x >= 240))::double / len(p) as last_bin from v")
+@query("m3_histogram", "with v as (select vec_id, list_transform(embedding, lambda x: (abs(floor(x * 1000))::bigint % 256)) as p from embeddings) select vec_id, len(list_filter(p, lambda x: x < 16))::double / len(p) as first_bin, len(list_filter(p, lambda x: x >= 240))::double / len(p) as last_bin from v")
 def _(s, d):
     p = F.transform("embedding", lambda x: F.abs(F.floor(x * F.lit(1000).cast("float"))) % 256)
     h = table(s, d, "embeddings").select("vec_id", cluster.channel_histogram(p).alias("h"))
