@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import PAGE_NOISE, any_match, normalize_line, split_lines
+from ..functions.text import PAGE_NOISE, any_match, header_metadata, normalize_line, split_lines
 
 
 def repeated_lines(pages: DataFrame, doc: str, page: str, threshold: float = 0.6) -> DataFrame:
@@ -36,6 +36,21 @@ def clean_pages(pages: DataFrame, doc: str, page: str, noise: list[str] | None =
     return out.select(doc, page, F.trim(F.array_join("__kept", "\n"), F.lit(" \t\r\n\x0b\x0c")).alias("clean"), F.size(lines).alias("n_lines"), (F.size(lines) - F.size("__kept")).alias("n_removed"))
 
 
+def clean_pages_at_start(pages: DataFrame, doc: str, page: str, noise: list[str], threshold: float = 0.6) -> DataFrame:
+    """doc, page, clean: like ``clean_pages``, but a noise pattern must match from
+    the start of a line, and runs of blank lines become one."""
+    out = clean_pages(pages, doc, page, [rf"^(?:{p})" for p in noise], threshold)
+    return out.select(doc, page, F.trim(F.regexp_replace("clean", r"\n{3,}", "\n\n"), F.lit(" \t\r\n\x0b\x0c")).alias("clean"))
+
+
+def cleaned_with_metadata(pages: DataFrame, doc: str, page: str, rules: list[dict], threshold: float = 0.6) -> DataFrame:
+    """doc, page, clean and the head's metadata: frequent lines go, then the
+    rules apply; metadata come from the text as it was."""
+    kept = drop_frequent_lines(pages, doc, page, threshold)
+    clean = kept.select(doc, page, apply_rules(F.col("clean"), rules).alias("clean"))
+    return clean.join(pages.select(doc, page, header_metadata(F.col("text")).alias("m")), [doc, page]).select(doc, page, "clean", "m.*")
+
+
 def drop_frequent_lines(pages: DataFrame, doc: str, page: str, threshold: float = 0.6, guard: bool = True) -> DataFrame:
     """Pages without lines (trimmed) on at least ``threshold`` of the pages.  With
     ``guard`` documents of one page are left alone."""

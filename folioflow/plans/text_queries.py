@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import dates, extract, html, legal, quality, text
@@ -304,14 +301,9 @@ def _event_stream(s, d):
     return progress.read_events(s, f"{d}/events.parquet", table(s, d, "events").schema)
 
 
-def _scratch(s, tag):
-    base = s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="folioflow-stream-")
-    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
 @query("st2_st5_windowed_stream", "select date_trunc('hour', ts) as start, event_type, count(*) as n from events group by 1, 2")
 def _(s, d):
-    out = _scratch(s, "windows")
+    out = sinks.scratch(s, "windows")
     counts = progress.windowed_counts(_event_stream(s, d), "ts", "event_type", "1 hour", "1000 days")
     q = counts.writeStream.outputMode("update").foreachBatch(progress.idempotent_append(f"{out}/rows")).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     q.awaitTermination()

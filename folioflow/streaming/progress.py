@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
@@ -87,3 +87,38 @@ def checkpoint_states(log: DataFrame) -> DataFrame:
 def rotation(progress: DataFrame, threshold: float = 95.0) -> DataFrame:
     """Which kind to work on next: the first in order below the threshold."""
     return progress.where(F.col("pct") < threshold).agg(F.min_by("kind", "ordinal").alias("next_kind"))
+
+
+def recoveries(beats: DataFrame, worker: str, at: str, stall: int = 600, most: int = 3) -> DataFrame:
+    """worker, at, idle, attempt and action of each stall (no beat for more than
+    ``stall`` seconds before ``at``): the first ``most`` are recovered, later ones
+    need a person."""
+    w = Window.partitionBy(worker).orderBy(at)
+    idle = (F.unix_micros(at) - F.unix_micros(F.lag(at).over(w))) / 1e6
+    stalls = beats.select(worker, at, idle.alias("idle")).where(F.col("idle") > stall)
+    stalls = stalls.withColumn("attempt", F.row_number().over(w))
+    return stalls.withColumn("action", F.when(F.col("attempt") <= most, "recover").otherwise("manual"))
+
+
+def watchdog(polls: DataFrame, key: str, at: str, count: str, threshold: int = 2) -> DataFrame:
+    """key, at, delta, stalled and restart per poll: a poll without progress is a
+    stall, and every ``threshold``-th stall in a row asks for a restart."""
+    w = Window.partitionBy(key).orderBy(at)
+    delta = F.coalesce(F.col(count) - F.lag(count).over(w), F.col(count))
+    moved = polls.withColumn("delta", delta).withColumn("__run", F.sum((F.col("delta") > 0).cast("int")).over(w))
+    inside = Window.partitionBy(key, "__run").orderBy(at)
+    stalled = F.sum((F.col("delta") <= 0).cast("int")).over(inside).cast("int")
+    return moved.select(key, at, "delta", stalled.alias("stalled")).withColumn("restart", (F.col("delta") <= 0) & (F.col("stalled") % threshold == 0))
+
+
+def claims(asked: DataFrame, key: str, worker: str, at: str, free: Column) -> DataFrame:
+    """key, worker: who gets each item that is still free.  The first to ask wins,
+    whatever the order in which claims arrive, so a repeated claim changes nothing."""
+    return asked.where(free).groupBy(key).agg(F.min_by(worker, F.struct(at, worker)).alias(worker))
+
+
+def random_order(work: DataFrame, key: str, workers: int, seed: int) -> DataFrame:
+    """work with ``worker`` and ``turn``: a seeded random order in which workers
+    claim items, without one task that sorts all of them."""
+    turn = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return work.withColumn("turn", turn).withColumn("worker", (F.conv(F.substring("turn", 1, 8), 16, 10).cast("long") % workers).cast("int"))
