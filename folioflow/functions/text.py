@@ -107,7 +107,50 @@ OLD_SPELLING = [("tj", "c"), ("dj", "j"), ("nj", "ny"), ("sj", "sy"), ("ch", "kh
 CORE_WORDS = set(
     "indonesia republik presiden pemerintah negara menteri gubernur bupati walikota daerah undang peraturan keputusan instruksi penetapan perpres perppu permen keppres inpres pasal ayat huruf angka bab bagian paragraf ketentuan umum penutup peralihan menimbang mengingat memutuskan menetapkan menyatakan memerintahkan mengatur melarang tentang dengan dalam untuk bahwa sebagai terhadap lembaga badan nomor tahun salinan lampiran penjelasan perubahan tuhan rahmat berkat atas adalah dapat harus wajib tidak atau dan setiap semua lain tersebut sebagaimana".split()
 )
-COMMON_ERRORS = {"lavv": "law", "REPUBLIC": "REPUBLIK", "UNDANGUNDANG": "UNDANG-UNDANG"}
+COMMON_ERRORS = {
+    "pernerintah": "pemerintah",
+    "pernbangunan": "pembangunan",
+    "kernenterian": "kementerian",
+    "rnasyarakat": "masyarakat",
+    "pernbentukan": "pembentukan",
+    "rnenetapkan": "menetapkan",
+    "rnengingat": "mengingat",
+    "rnenimbang": "menimbang",
+    "rnenteri": "menteri",
+    "pernberlakuan": "pemberlakuan",
+    "unclang": "undang",
+    "keaclilan": "keadilan",
+    "pencliclikan": "pendidikan",
+    "keputusclan": "keputusan",
+    "clengan": "dengan",
+    "claiam": "dalam",
+    "lavv": "law",
+    "nevv": "new",
+    "wvajib": "wajib",
+    "lndonesia": "indonesia",
+    "lnstruksi": "instruksi",
+    "lnpres": "inpres",
+    "republlk": "republik",
+    "presiclen": "presiden",
+    "repub1ik": "republik",
+    "repub|ik": "republik",
+    "REPUBLIC": "REPUBLIK",
+    "UNDANGUNDANG": "UNDANG-UNDANG",
+}
+#: Old spellings that the letter rules do not reach.
+OLD_WORDS = {
+    "jang": "yang",
+    "jaitu": "yaitu",
+    "jogjakarta": "yogyakarta",
+    "jogja": "yogya",
+    "pertjaja": "percaya",
+    "ketentjuan": "ketentuan",
+    "oemoem": "umum",
+    "boekoe": "buku",
+    "koempoelan": "kumpulan",
+    "soedah": "sudah",
+    "boelan": "bulan",
+}
 DIGIT_LETTERS = {"0": "O", "1": "I", "3": "E", "4": "A", "5": "S", "7": "T", "8": "B"}
 SPECIAL_LETTERS = {"!": "I", "|": "L", "$": "S", "@": "A"}
 
@@ -292,6 +335,10 @@ def year_in_name(name: Column) -> Column:
 # word by word, with case rules
 
 
+_OLD_LETTERS = dict(OLD_SPELLING)
+_OLD = re.compile("|".join(_OLD_LETTERS))
+
+
 def preserve_case(original: str, new: str) -> str:
     if original.isupper():
         return new.upper()
@@ -327,9 +374,7 @@ def correct_word(core: str, dictionary: dict[str, str], old: dict[str, str]) ->
             return preserve_case(core, low.replace(wrong, right)), "ligature"
     if low in old:
         return preserve_case(core, old[low]), "old_spelling"
-    new = low
-    for wrong, right in OLD_SPELLING:
-        new = new.replace(wrong, right)
+    new = _OLD.sub(lambda m: _OLD_LETTERS[m[0]], low)  # in one pass: what dj becomes is no nj
     return (preserve_case(core, new), "old_spelling") if new != low else (core, "")
 
 

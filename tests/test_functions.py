@@ -45,6 +45,75 @@ def test_regex_corrections(spark, given, right):
     assert apply(spark, text.regex_corrections, given) == right
 
 
+# Words as recognised, and as they should read.
+OLD_SPELLINGS = [
+    ("djuga", "juga"), ("djadi", "jadi"), ("djabatan", "jabatan"), ("djenderal", "jenderal"), ("djakarta", "jakarta"), ("djanuari", "januari"), ("djuli", "juli"), ("djumlah", "jumlah"),
+    ("djaminan", "jaminan"), ("djawatan", "jawatan"), ("djurusan", "jurusan"), ("Djakarta", "Jakarta"), ("tjara", "cara"), ("tjatatan", "catatan"), ("tjukup", "cukup"), ("mentjapai", "mencapai"),
+    ("pertjaja", "percaya"), ("TJARA", "CARA"), ("njata", "nyata"), ("njaris", "nyaris"), ("sjarat", "syarat"), ("sjah", "syah"), ("sjahrir", "syahrir"), ("jang", "yang"), ("jaitu", "yaitu"),
+    ("jogjakarta", "yogyakarta"), ("jogja", "yogya"), ("juga", "juga"), ("jadi", "jadi"), ("jalan", "jalan"), ("oemoem", "umum"), ("boekoe", "buku"), ("koempoelan", "kumpulan"), ("soedah", "sudah"),
+    ("boelan", "bulan"), ("wadjib", "wajib"), ("perdjalanan", "perjalanan"), ("keadjaiban", "keajaiban"), ("sedjak", "sejak"), ("kedjadian", "kejadian"), ("pekerdjaan", "pekerjaan"),
+    ("ketentjuan", "ketentuan"), ("pendjelasan", "penjelasan"), ("pendjualan", "penjualan"),
+]
+MISREAD = [
+    ("pernerintah", "pemerintah"), ("pernbangunan", "pembangunan"), ("kernenterian", "kementerian"), ("rnasyarakat", "masyarakat"), ("pernbentukan", "pembentukan"), ("rnenetapkan", "menetapkan"),
+    ("rnengingat", "mengingat"), ("rnenimbang", "menimbang"), ("rnenteri", "menteri"), ("PERNERINTAH", "PEMERINTAH"), ("unclang", "undang"), ("keaclilan", "keadilan"), ("pencliclikan", "pendidikan"),
+    ("clengan", "dengan"), ("claiam", "dalam"), ("lavv", "law"), ("nevv", "new"), ("SALINAN", "SALINAN"), ("LAMPIRAN", "LAMPIRAN"), ("kualifikasi", "kualifikasi"), ("modifikasi", "modifikasi"),
+    ("identifikasi", "identifikasi"), ("klasifikasi", "klasifikasi"), ("berlian", "berlian"), ("dalil", "dalil"), ("1NDONESIA", "INDONESIA"), ("INDONE5IA", "INDONESIA"), ("PRES1DEN", "PRESIDEN"),
+    ("PEMER1NTAH", "PEMERINTAH"), ("7AHUN", "TAHUN"), ("7ENTANG", "TENTANG"), ("N3GARA", "NEGARA"), ("PRES!DEN", "PRESIDEN"), ("REPUB|IK", "REPUBLIK"),
+]
+
+
+@pytest.mark.parametrize("given, right", OLD_SPELLINGS + MISREAD)
+def test_words_as_they_should_read(given, right):
+    lower = lambda d: {k.lower(): v for k, v in d.items()}
+    assert text.correct_word(given, lower(text.COMMON_ERRORS), lower(text.OLD_WORDS))[0] == right
+
+
+@pytest.mark.parametrize("given, right", [("TAHUN 201O", "TAHUN 2010"), ("TAHUN 20OO", "TAHUN 2000"), ("BAB 11", "BAB II"), ("UNDANG - UNDANG", "UNDANG-UNDANG"), ("ayat (I)", "(1)")])
+def test_numbers_as_they_should_read(spark, given, right):
+    assert apply(spark, text.regex_corrections, given) == right
+
+
+def test_years_and_dates_of_pages(spark):
+    titles = [("Peraturan Tahun 2024", 2024), ("tahun 2025", 2025), ("Berlaku sejak Tahun  2023", 2023), ("No year here", None), ("Invalid Tahun 1400", None), ("", None)]
+    slugs = [("uu-no-2-tahun-2025", 2025), ("pp-no-1-tahun-2024", 2024), ("some-slug-2024", 2024), ("no-year-slug", None), ("", None)]
+    days = [("15 Januari 2025", 2025), ("1 Desember 2024", 2024), ("No date", None), ("Invalid date 1400", None), ("", None)]
+    none = F.lit(None).cast("string")
+    rows = [(t, "", "", y) for t, y in titles] + [("", s, "", y) for s, y in slugs] + [("", "", x, y) for x, y in days]
+    df = spark.createDataFrame(rows, "title string, slug string, day string, y int")
+    got = df.select("y", html.year_fallback(none, F.col("title"), F.col("slug"), F.col("day"), 2025).alias("found")).collect()
+    assert [r["found"] for r in got] == [r["y"] for r in got]
+    fields = spark.createDataFrame([("1945",), ("1944",), ("1465",), ("3000",), ("2026",), (None,)], "y string")
+    assert [r[0] for r in fields.select(html.year_fallback(F.col("y"), F.lit(""), F.lit(""), F.lit(""), 2025)).collect()] == [1945, None, None, None, 2026, None]
+
+
+def test_slugs_of_links(spark):
+    pairs = [("/id/uu-no-2-tahun-2025", "uu-no-2-tahun-2025"), ("https://example.org/id/pp-no-1-tahun-2024", "pp-no-1-tahun-2024"), ("/id/perpres-no-10-tahun-2023/", "perpres-no-10-tahun-2023")]
+    assert [apply(spark, html.slug_of, a) for a, _ in pairs] == [b for _, b in pairs]
+
+
+def test_validation(spark):
+    law = "PRESIDEN REPUBLIK INDONESIA\nUNDANG-UNDANG REPUBLIK INDONESIA\nNOMOR 1 TAHUN 2024\nTENTANG PERUBAHAN\nMenimbang bahwa untuk mewujudkan tujuan negara\nMengingat Pasal 5 ayat (1) Undang-Undang Dasar\nMEMUTUSKAN\nMenetapkan UNDANG-UNDANG TENTANG PERUBAHAN\nBAB I\nKETENTUAN UMUM\nPasal 1\nDalam Undang-Undang ini yang dimaksud dengan\n(1) Pemerintah adalah\n(2) Menteri adalah\nPasal 2\n(1) Ketentuan sebagaimana dimaksud dalam Pasal 1\n" * 2
+    rows = [("law", law, [0.98] * 30), ("short", "a few words", [0.95]), ("unsure", law, []), ("low", law, [0.7] * 30)]
+    df = spark.createDataFrame(rows, "k string, text string, c array<double>")
+    got = {r["k"]: r["v"] for r in df.select("k", quality.validation(F.col("text"), F.col("c"), F.lit(2024), sorted(text.CORE_WORDS)).alias("v")).collect()}
+    assert got["law"]["score"] >= 80 and got["law"]["n_words"] >= 50
+    assert (got["short"]["grade"], got["short"]["score"]) == ("FAIL", 0.0)
+    assert got["law"]["score"] - got["unsure"]["score"] == pytest.approx(0.45 * 98, abs=1e-6)
+    assert got["low"]["score"] < got["law"]["score"]
+
+
+def test_salvaged_json(spark):
+    df = spark.createDataFrame([('ok {"corrected": "x", "confidence": 1.7} done',), ('{"corrected": "y", "confidence": -1}',), ('{"corrected": "z"}',), ("nothing",)], "r string")
+    assert [tuple(r["x"]) for r in df.select(extract.salvage_json(F.col("r")).alias("x")).collect()] == [("x", 1.0), ("y", 0.0), ("z", 0.5), (None, None)]
+
+
+def test_unicode_normalisation_and_ratio(spark):
+    pairs = [("\ufb01le\u00ad\u200b \u201cx\u201d \u2013 y", 'file "x" - y'), ("ber-\nlaku", "berlaku"), ("  a\tb\n", "a b"), (None, "")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert all(r["x"] == r["b"] for r in df.select("b", text.nfkc("a").alias("x")).collect())
+
+
 def test_hyphen_and_html(spark):
     assert apply(spark, text.join_hyphen_breaks, "UNDANG-\nUNDANG") == "UNDANG-UNDANG"
     assert apply(spark, text.strip_html, "<b>x</b><br/>y") == "x\ny"
