@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import scratch
+
 
 def valid_edges(edges: DataFrame, nodes: DataFrame, key: str) -> DataFrame:
     """Edges (src, dst, ...) both of whose ends are nodes."""
@@ -22,13 +24,15 @@ def neighbourhood(edges: DataFrame, node) -> DataFrame:
 def reachable(edges: DataFrame, starts: DataFrame, depth: int) -> DataFrame:
     """(start, node, steps): nodes on paths of 1 to ``depth`` edges, with the
     fewest steps.  One join and dedup per step; nodes reached before do not
-    travel again, so cycles end."""
+    travel again, so cycles end.  Each step is written, so none runs twice."""
     frontier = starts.select(F.col("start"), F.col("start").alias("node"), F.lit(0).alias("steps"))
     seen = frontier
     hop = edges.select(F.col("src").alias("node"), F.col("dst").alias("__next")).distinct()
     for k in range(1, depth + 1):
         frontier = frontier.join(hop, "node").select("start", F.col("__next").alias("node"), F.lit(k).alias("steps")).distinct()
-        frontier = frontier.join(seen.select("start", "node"), ["start", "node"], "left_anti")
+        path = scratch(edges.sparkSession, "frontier")
+        frontier.join(seen.select("start", "node"), ["start", "node"], "left_anti").write.parquet(path)
+        frontier = edges.sparkSession.read.schema(frontier.schema).parquet(path)
         seen = seen.unionByName(frontier)
     return seen.where("steps > 0")
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import first_of_each
+
 
 def hash_order(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
@@ -23,7 +25,9 @@ def stratified(rows: DataFrame, key: str, category: str, era: str, quotas: dict[
     share = F.create_map(*[F.lit(x) for p in shares.items() for x in p])
     order = [hash_order(key, seed), F.col(key)]
     q = F.try_element_at(quota, F.col(category))
-    ranked = rows.withColumn("__q", q).where("__q is not null")
+    # whatever is taken is among the first ``quota`` rows of its category and era
+    kept = first_of_each(rows.where(q.isNotNull()), [category, era], max(quotas.values()), *order)
+    ranked = kept.withColumn("__q", q)
     ranked = ranked.withColumn("__rn", F.row_number().over(Window.partitionBy(category, era).orderBy(*order)))
     first = F.col("__rn") <= F.floor(F.col("__q") * F.coalesce(F.try_element_at(share, F.col(era)), F.lit(0.0)))
     ranked = ranked.withColumn("__first", first)

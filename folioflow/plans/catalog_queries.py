@@ -10,6 +10,7 @@ from ..functions.nulls import count_if, is_blank, share
 from ..operators import catalog as C
 from ..operators import mutations as M
 from ..operators import stats as S
+from ..operators import windows
 from ..sources.tables import CATALOG_SQL, catalog, table
 from .registry import query
 
@@ -402,7 +403,7 @@ def _(s, d):
 @query("a27_cluster_build", "with r as (select lang, source, doc_id, row_number() over (partition by lang order by doc_id) as i from documents) select lang, count(*) as size, string_agg(doc_id::varchar, ',' order by doc_id) filter (i <= 5) as samples from r group by 1")
 def _(s, d):
     docs = table(s, d, "documents")
-    first = docs.withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("doc_id"))).where("i <= 5")
+    first = windows.first_of_each(docs.select("lang", "doc_id"), ["lang"], 5, F.col("doc_id"))
     samples = first.groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("samples"))
     return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).join(samples, "lang")
 

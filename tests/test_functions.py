@@ -248,3 +248,13 @@ def test_heartbeats(spark, tmp_path):
     q.awaitTermination()
     got = {r["worker"]: (r["errors"], r["n"]) for r in spark.sql("select * from beats").collect()}
     assert got == {1: (2, 3), 2: (0, 1)}
+
+
+def test_moving_average_over_blocks(spark):
+    rows = [(k, i * 3, float((i * 7) % 11)) for k in "ab" for i in range(50 if k == "a" else 3)]
+    df = spark.createDataFrame(rows, "k string, at bigint, v double")
+    got = {(r["k"], r["at"]): r["mean"] for r in windows.moving_average(df, ["k"], "at", "v", 7, block=8).collect()}
+    for k in "ab":
+        v = [x for key, _, x in rows if key == k]
+        for i in range(len(v)):
+            assert got[k, i * 3] == pytest.approx(sum(v[min(max(i + d, 0), len(v) - 1)] for d in range(-3, 4)) / 7)
