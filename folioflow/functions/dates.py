@@ -6,13 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Month names and number words.
-MONTHS = "januari februari maret april mei juni juli agustus september oktober november desember".split()
+MONTHS = [
+    "januari", "februari", "maret", "april", "mei", "juni", "juli", "agustus", "september", "oktober", "november", "desember",
+]
 NUMBER_WORDS = {
     "satu": 1, "dua": 2, "tiga": 3, "empat": 4, "lima": 5, "enam": 6, "tujuh": 7, "delapan": 8, "sembilan": 9, "sepuluh": 10,
     "sebelas": 11, "dua belas": 12, "tiga belas": 13, "empat belas": 14, "lima belas": 15, "tiga puluh": 30, "enam puluh": 60,
     "sembilan puluh": 90, "seratus": 100, "seratus delapan puluh": 180,
 }
 
+# Forms of the clause on the entry into force, and the sureness of each class.
+ENACTED = r"di(?:undang|tetap)kan"
+DAY = r"tanggal\s+(\d{1,2}\s+[A-Za-z]+\s+\d{4})"
+CLAUSE = r"(?i)(?:undang[- ]?undang|peraturan|keputusan|instruksi)\s+ini\s+mulai\s+berlaku"
+DELAY_TAIL = rf"\s*(hari|bulan)\s+(?:sejak|setelah)\s+(?:tanggal\s+)?{ENACTED}"
+DELAYS = [rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?(\d+)\s*\([^)]+\){DELAY_TAIL}", rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?(\d+){DELAY_TAIL}", rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?([\w\s]+?){DELAY_TAIL}"]
+AT_ONCE = rf"(?i)berlaku\s+(?:pada|sejak)\s+tanggal\s+{ENACTED}"
+ON_DAY = rf"(?i)mulai\s+berlaku\s+(?:pada\s+)?{DAY}"
+BACK_TO_DAY = rf"(?i)mulai\s+berlaku\s+(?:surut\s+)?(?:sejak|pada)\s+{DAY}"
+AFTER_ACT = rf"(?i)mulai\s+berlaku\s+setelah\s+(.+?)\s+{ENACTED}"
+WHEN = r"(?i)mulai\s+berlaku\s+(?:pada\s+)?(?:saat|ketika)\s+(.+)"
+SURE = {"immediate": 0.95, "specific_date": 0.90, "delayed": 0.85, "retroactive": 0.85, "conditional": 0.70}
+
 
 def _month(name: Column) -> Column:
     table = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS) for x in (m, i + 1)])
@@ -48,10 +63,6 @@ def delayed_date(base: Column, days: Column) -> Column:
     return F.date_format(F.date_add(F.try_to_date(base, "yyyy-MM-dd"), days), "yyyy-MM-dd")
 
 
-_ENACTED = r"di(?:undang|tetap)kan"
-_DAY = r"tanggal\s+(\d{1,2}\s+[A-Za-z]+\s+\d{4})"
-
-
 def effective_dates(docs: DataFrame, text: str = "text", published: str = "published") -> DataFrame:
     """Adds date_type, effective_date, confidence, delay_days and condition.
 
@@ -59,22 +70,19 @@ def effective_dates(docs: DataFrame, text: str = "text", published: str = "publi
     else in the last 3000; the first class that matches decides.  The steps are
     columns of their own, so every pattern runs once a row."""
     c = F.col(text)
-    at = F.regexp_instr(c, F.lit(r"(?i)(?:undang[- ]?undang|peraturan|keputusan|instruksi)\s+ini\s+mulai\s+berlaku"))
-    tail = rf"\s*(hari|bulan)\s+(?:sejak|setelah)\s+(?:tanggal\s+)?{_ENACTED}"
-    forms = [rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?(\d+)\s*\([^)]+\){tail}", rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?(\d+){tail}", rf"(?i)mulai\s+berlaku\s+(?:setelah\s+)?([\w\s]+?){tail}"]
-    after, when = rf"(?i)mulai\s+berlaku\s+setelah\s+(.+?)\s+{_ENACTED}", r"(?i)mulai\s+berlaku\s+(?:pada\s+)?(?:saat|ketika)\s+(.+)"
+    at = F.regexp_instr(c, F.lit(CLAUSE))
     s = F.col("__s")
     steps = docs.withColumn("__at", at).withColumn("__s", F.when(F.col("__at") > 0, F.substr(c, F.col("__at"), F.lit(500))).otherwise(F.substring(c, -3000, 3000)))
     steps = steps.withColumns(
         {
-            "__now": s.rlike(rf"(?i)berlaku\s+(?:pada|sejak)\s+tanggal\s+{_ENACTED}"),
-            "__day": F.regexp_extract(s, rf"(?i)mulai\s+berlaku\s+(?:pada\s+)?{_DAY}", 1),
-            "__back": F.regexp_extract(s, rf"(?i)mulai\s+berlaku\s+(?:surut\s+)?(?:sejak|pada)\s+{_DAY}", 1),
-            "__form": F.coalesce(*[F.when(s.rlike(p), F.lit(i)) for i, p in enumerate(forms)]),
-            "__if": F.when(s.rlike(after), F.trim(F.regexp_extract(s, after, 1))).when(s.rlike(when), F.trim(F.regexp_extract(s, when, 1))),
+            "__now": s.rlike(AT_ONCE),
+            "__day": F.regexp_extract(s, ON_DAY, 1),
+            "__back": F.regexp_extract(s, BACK_TO_DAY, 1),
+            "__form": F.coalesce(*[F.when(s.rlike(p), F.lit(i)) for i, p in enumerate(DELAYS)]),
+            "__if": F.when(s.rlike(AFTER_ACT), F.trim(F.regexp_extract(s, AFTER_ACT, 1))).when(s.rlike(WHEN), F.trim(F.regexp_extract(s, WHEN, 1))),
         }
     )
-    part = lambda g: F.coalesce(*[F.when(F.col("__form") == i, F.regexp_extract(s, p, g)) for i, p in enumerate(forms)])
+    part = lambda g: F.coalesce(*[F.when(F.col("__form") == i, F.regexp_extract(s, p, g)) for i, p in enumerate(DELAYS)])
     steps = steps.withColumns({"__n": part(1), "__unit": part(2)})
     steps = steps.withColumn("__days", delay_days(F.col("__n"), F.col("__unit")))
     kind = (
@@ -88,7 +96,7 @@ def effective_dates(docs: DataFrame, text: str = "text", published: str = "publi
     )
     k = F.col("date_type")
     date = F.when(k == "immediate", F.col(published)).when(k == "specific_date", iso_date(F.col("__day"), True)).when(k == "delayed", delayed_date(F.col(published), F.col("__days"))).when(k == "retroactive", iso_date(F.col("__back"), True))
-    sure = F.when(k == "immediate", 0.95).when(k == "specific_date", 0.90).when(k.isin("delayed", "retroactive"), 0.85).when(k == "conditional", 0.70).otherwise(0.0)
+    sure = F.coalesce(*[F.when(k == name, v) for name, v in SURE.items()], F.lit(0.0))
     steps = steps.withColumn("date_type", kind)
     steps = steps.withColumns({"effective_date": date, "confidence": sure, "delay_days": F.when(k == "delayed", F.col("__days")), "condition": F.when(k == "conditional", F.col("__if"))})
     return steps.drop("__at", "__s", "__now", "__day", "__back", "__form", "__if", "__n", "__unit", "__days")

@@ -25,6 +25,17 @@ CONDITIONS = [
     ("DICABUT_DAN_TIDAK_BERLAKU", r"(?i)(dicabut\s+dan\s+dinyatakan\s+tidak\s+berlaku[^.]{0,100})"),
 ]
 
+REFERENCE_TAIL = r"(?i)(?:Nomor|No\.?)\s*(\d+)\s*Tahun\s*(\d{4})"
+CONDITION_PHRASES = [r"(?i)(sepanjang\s+tidak\s+bertentangan[^.;]*)", r"(?i)(sampai\s+(?:dengan\s+)?(?:ditetapkannya|diundangkannya)[^.;]*)"]
+BASIS = r"(?i)Pasal\s+(\d+)(?:\s+ayat\s+\((\d+)\))?"
+AMENDING_TITLE = r"(?i)perubahan\s+(?:atas|kedua|ketiga|keempat|kelima)"
+INTERNAL = r"(?i)(?:dimaksud|diatur)\s+(?:dalam|pada|di)\s+(?:ketentuan\s+)?(Pasal\s+\d+[A-Za-z]?(?:\s+ayat\s*\(\d+\))?(?:\s+huruf\s+[a-z]\b)?)"
+CONFLICT = r"(?i)^(.*?)sepanjang tidak bertentangan dengan\s+(.+)$"
+CONFLICT_SUBJECT = r"(?i)(?:^|,\s*)([^,]+?)\s+(?:dinyatakan\s+)?(?:masih\s+)?(?:tetap\s+)?berlaku"
+STATUS_RELATION = r"(?i){word} Oleh\s*:\s*(.+?\s*(?:Nomor|No\.?)\s*\d+\s*Tahun\s*\d+)"
+STATUS_PARTS = r"(?i)^(.+?)\s*(?:Nomor|No\.?)\s*(\d+)\s*Tahun\s*(\d+)$"
+VALIDITY_SURE = {"revoked": 0.95, "amended": 0.85, "conditional": 0.70, "transitional": 0.65, "own": 0.90, "none": 0.40}
+
 
 def reference_kind(c: Column) -> Column:
     """Short kind of a reference text; the longer names come first."""
@@ -40,8 +51,7 @@ def reference_kind(c: Column) -> Column:
 
 def reference(c: Column) -> Column:
     """kind, number, year and slug of one reference text."""
-    tail = r"(?i)(?:Nomor|No\.?)\s*(\d+)\s*Tahun\s*(\d{4})"
-    kind, number, year = reference_kind(c), F.regexp_extract(c, tail, 1), F.regexp_extract(c, tail, 2).try_cast("int")
+    kind, number, year = reference_kind(c), F.regexp_extract(c, REFERENCE_TAIL, 1), F.regexp_extract(c, REFERENCE_TAIL, 2).try_cast("int")
     return F.struct(kind.alias("kind"), number.alias("number"), year.alias("year"), slug(kind, number, year).alias("target"))
 
 
@@ -58,19 +68,17 @@ def relation_type(sentence: Column) -> Column:
 
 
 def condition_phrase(sentence: Column) -> Column:
-    forms = [r"(?i)(sepanjang\s+tidak\s+bertentangan[^.;]*)", r"(?i)(sampai\s+(?:dengan\s+)?(?:ditetapkannya|diundangkannya)[^.;]*)"]
-    return F.coalesce(*[F.when(sentence.rlike(p), F.trim(F.regexp_extract(sentence, p, 1))) for p in forms])
+    return F.coalesce(*[F.when(sentence.rlike(p), F.trim(F.regexp_extract(sentence, p, 1))) for p in CONDITION_PHRASES])
 
 
 def article_basis(sentence: Column) -> Column:
-    p = r"(?i)Pasal\s+(\d+)(?:\s+ayat\s+\((\d+)\))?"
-    article, clause = F.regexp_extract(sentence, p, 1), F.regexp_extract(sentence, p, 2)
+    article, clause = F.regexp_extract(sentence, BASIS, 1), F.regexp_extract(sentence, BASIS, 2)
     return F.when(article != "", F.concat(F.lit("Pasal "), article, F.when(clause != "", F.concat(F.lit(" ayat ("), clause, F.lit(")"))).otherwise("")))
 
 
 def title_amendments(records: DataFrame) -> DataFrame:
     """Amendment links from titles: slug -> the first reference."""
-    hit = F.col("tentang").rlike(r"(?i)perubahan\s+(?:atas|kedua|ketiga|keempat|kelima)")
+    hit = F.col("tentang").rlike(AMENDING_TITLE)
     first = F.get(references(F.col("tentang")), F.lit(0))
     return records.where(hit).select("slug", first.alias("r")).where("r.target is not null").select("slug", "r.target", F.lit("MENGUBAH").alias("rel_type"))
 
@@ -89,8 +97,7 @@ def text_relations(docs: DataFrame, keep_unparsed: bool = False) -> DataFrame:
 
 def internal_references(c: Column) -> Column:
     """"Pasal n [ayat (m) [huruf x]]" of references within the same text."""
-    p = r"(?i)(?:dimaksud|diatur)\s+(?:dalam|pada|di)\s+(?:ketentuan\s+)?(Pasal\s+\d+[A-Za-z]?(?:\s+ayat\s*\(\d+\))?(?:\s+huruf\s+[a-z]\b)?)"
-    return F.transform(F.regexp_extract_all(c, F.lit(p), F.lit(1)), collapse)
+    return F.transform(F.regexp_extract_all(c, F.lit(INTERNAL), F.lit(1)), collapse)
 
 
 def conditional_clauses(docs: DataFrame) -> DataFrame:
@@ -107,10 +114,9 @@ def conflict_clauses(docs: DataFrame) -> DataFrame:
     """subject, condition and sentence of "as far as not contrary to" clauses."""
     s = docs.select("slug", F.explode(F.split("text", "[.;]")).alias("s")).where(F.lower("s").contains("sepanjang tidak bertentangan"))
     s = s.withColumn("s", collapse(F.col("s"))).where(F.length("s") >= 20)
-    p = r"(?i)^(.*?)sepanjang tidak bertentangan dengan\s+(.+)$"
-    s = s.where(F.col("s").rlike(p))
-    before, condition = F.regexp_extract("s", p, 1), F.regexp_extract("s", p, 2)
-    subject = F.trim(F.regexp_extract(before, r"(?i)(?:^|,\s*)([^,]+?)\s+(?:dinyatakan\s+)?(?:masih\s+)?(?:tetap\s+)?berlaku", 1))
+    s = s.where(F.col("s").rlike(CONFLICT))
+    before, condition = F.regexp_extract("s", CONFLICT, 1), F.regexp_extract("s", CONFLICT, 2)
+    subject = F.trim(F.regexp_extract(before, CONFLICT_SUBJECT, 1))
     return s.select("slug", F.substring(F.when(subject != "", subject).otherwise(F.trim(F.substring(before, -100, 100))), 1, 200).alias("subject"), F.substring(F.trim(condition), 1, 200).alias("condition"), F.substring("s", 1, 500).alias("sentence"))
 
 
@@ -118,11 +124,10 @@ def status_relations(records: DataFrame) -> DataFrame:
     """Relations that a status string spells out ("Dicabut Oleh : X Nomor n Tahun y")."""
     out = None
     for word, kind in (("Dicabut", "DICABUT_OLEH"), ("Diubah", "DIUBAH_OLEH")):
-        p = rf"(?i){word} Oleh\s*:\s*(.+?\s*(?:Nomor|No\.?)\s*\d+\s*Tahun\s*\d+)"
+        p = STATUS_RELATION.replace("{word}", word)
         one = records.select("slug", F.lit(kind).alias("rel_type"), F.explode(F.regexp_extract_all("status", F.lit(p), F.lit(1))).alias("x"))
         out = one if out is None else out.unionByName(one)
-    part = r"(?i)^(.+?)\s*(?:Nomor|No\.?)\s*(\d+)\s*Tahun\s*(\d+)$"
-    return out.select("slug", "rel_type", F.trim(F.regexp_extract("x", part, 1)).alias("kind"), F.regexp_extract("x", part, 2).alias("number"), F.regexp_extract("x", part, 3).cast("int").alias("year"))
+    return out.select("slug", "rel_type", F.trim(F.regexp_extract("x", STATUS_PARTS, 1)).alias("kind"), F.regexp_extract("x", STATUS_PARTS, 2).alias("number"), F.regexp_extract("x", STATUS_PARTS, 3).cast("int").alias("year"))
 
 
 def validity(records: DataFrame, edges: DataFrame) -> DataFrame:
@@ -137,7 +142,7 @@ def validity(records: DataFrame, edges: DataFrame) -> DataFrame:
     has = {k: F.coalesce(F.col(f"n_{k}"), F.lit(0)) > 0 for k in kinds}
     state = F.when(has["revoked"], "DICABUT").when(has["amended"], "DIUBAH").when(has["conditional"], "BERLAKU_BERSYARAT").when(has["transitional"], "MASA_PERALIHAN")
     state = state.when(gone, "TIDAK_BERLAKU").when(low.contains("berlaku") & ~low.contains("tidak"), "BERLAKU").otherwise("UNCERTAIN")
-    sure = F.when(has["revoked"], 0.95).when(has["amended"], 0.85).when(has["conditional"], 0.70).when(has["transitional"], 0.65).when(gone | low.contains("berlaku"), 0.90).otherwise(0.40)
+    sure = F.coalesce(*[F.when(has[k], VALIDITY_SURE[k]) for k in kinds], F.when(gone | low.contains("berlaku"), VALIDITY_SURE["own"]), F.lit(VALIDITY_SURE["none"]))
     return j.select("slug", state.alias("validity"), sure.alias("confidence"))
 
 

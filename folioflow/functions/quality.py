@@ -6,15 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Terms of legal prose and structure marks with weights.
-LEGAL_TERMS = (
-    "undang-undang peraturan pemerintah presiden menteri pasal ayat huruf angka bab bagian paragraf menimbang mengingat memutuskan menetapkan "
-    "ketentuan umum peralihan penutup republik indonesia negara hukum warga rakyat dewan perwakilan ditetapkan diundangkan berlaku tanggal "
-    "jakarta tahun nomor tentang penjelasan tambahan lembaran perubahan pencabutan pengesahan"
-).split()
+LEGAL_TERMS = [
+    "undang-undang", "peraturan", "pemerintah", "presiden", "menteri", "pasal", "ayat", "huruf", "angka", "bab", "bagian", "paragraf", "menimbang", "mengingat", "memutuskan", "menetapkan",
+    "ketentuan", "umum", "peralihan", "penutup", "republik", "indonesia", "negara", "hukum", "warga", "rakyat", "dewan", "perwakilan", "ditetapkan", "diundangkan", "berlaku", "tanggal",
+    "jakarta", "tahun", "nomor", "tentang", "penjelasan", "tambahan", "lembaran", "perubahan", "pencabutan", "pengesahan",
+]
 STRUCTURE = [(r"(?i)BAB\s+[IVX]+", 0.15), (r"(?iU)Bagian\s+\w+", 0.10), (r"(?i)Pasal\s+\d+", 0.25), (r"\(\d+\)", 0.20), (r"(?i)[a-z]\.", 0.10), (r"(?i)Menimbang", 0.10), (r"(?i)Mengingat", 0.10)]
 BROKEN = [r"(?i)[bcdfghjklmnpqrstvwxyz]{4,}", r"(?i)\d[O0Il]{2,}\d", r"(?U)[^\w\s.,;:!?\-()\"'\[\]{}]{3,}", r"(?i)(?<![A-Za-z])[lI1]{3,}(?![A-Za-z])"]
 LINE_MARKS = [r"(?im)^pasal\s+\d+", r"(?m)^\(\d+\)", r"(?im)^[a-z]\.", r"(?im)^bab\s+[ivxlcdm]+", r"(?imU)^bagian\s+\w+", r"(?im)^ayat\s+\(\d+\)"]
 
+OVERALL_WEIGHTS = {"confidence": 0.25, "words": 0.30, "legal": 0.20, "articles": 0.15, "xml": 0.10}
+TIERS = [(0.80, "high"), (0.60, "medium"), (0.40, "low")]
+DOCUMENT_TIERS = [(0.85, "EXCELLENT"), (0.70, "GOOD"), (0.50, "FAIR")]
+PAGE_WEIGHTS = {"alpha": 0.2, "whole": 0.3, "word": 0.3, "legal": 0.2}
+VALIDATION_WEIGHTS = {"confidence": 0.45, "words": 0.35, "terms": 0.15, "marks": 0.05}
+#: Pass and warning marks by the year before which a document was made; later ones have the last pair.
+YEAR_LIMITS = [(1970, 88.0, 83.0), (1990, 91.0, 86.0), (2010, 93.0, 88.0), (None, 95.0, 90.0)]
+
 
 def _bound(value: Column, body) -> Column:
     """``body`` of a value that is computed once: a lambda's variable is never
@@ -53,19 +61,20 @@ def structure_score(c: Column) -> Column:
 def overall_score(confidence: Column, words: Column, legal: Column, has_articles: Column, xml_valid: Column) -> Column:
     """Weighted mean over the parts that are known; five percent of legal terms
     already count fully."""
-    parts = [(confidence, 0.25), (words, 0.30), (F.least(legal / 0.05, F.lit(1.0)), 0.20)]
-    score = sum((F.coalesce(v * w, F.lit(0.0)) for v, w in parts), F.lit(0.0))
-    used = sum((F.when(v.isNotNull(), w).otherwise(0.0) for v, w in parts), F.lit(0.0))
-    score = score + F.when(has_articles, 0.15).otherwise(0.0) + F.when(xml_valid, 0.10).otherwise(0.0)
-    return score / (used + 0.25)
+    w = OVERALL_WEIGHTS
+    parts = [(confidence, w["confidence"]), (words, w["words"]), (F.least(legal / 0.05, F.lit(1.0)), w["legal"])]
+    score = sum((F.coalesce(v * x, F.lit(0.0)) for v, x in parts), F.lit(0.0))
+    used = sum((F.when(v.isNotNull(), x).otherwise(0.0) for v, x in parts), F.lit(0.0))
+    score = score + F.when(has_articles, w["articles"]).otherwise(0.0) + F.when(xml_valid, w["xml"]).otherwise(0.0)
+    return score / (used + w["articles"] + w["xml"])
 
 
 def tier(score: Column) -> Column:
-    return F.when(score >= 0.80, "high").when(score >= 0.60, "medium").when(score >= 0.40, "low").otherwise("error")
+    return F.coalesce(*[F.when(score >= least, name) for least, name in TIERS], F.lit("error"))
 
 
 def document_tier(score: Column) -> Column:
-    return F.when(score >= 0.85, "EXCELLENT").when(score >= 0.70, "GOOD").when(score >= 0.50, "FAIR").otherwise("POOR")
+    return F.coalesce(*[F.when(score >= least, name) for least, name in DOCUMENT_TIERS], F.lit("POOR"))
 
 
 def issues(confidence: Column, words: Column, legal: Column, broken: Column, has_articles: Column) -> Column:
@@ -97,8 +106,10 @@ def page_score(c: Column, vocabulary: list[str] | None = None) -> Column:
     parts = F.struct(alpha.alias("alpha"), broken.alias("broken"), rates.alias("r"))
     blank = F.coalesce(F.trim(c), F.lit("")) == ""
 
+    k = PAGE_WEIGHTS
+
     def judged(x: Column) -> Column:
-        score = 0.2 * x["alpha"] + 0.3 * (1 - x["broken"]) + 0.3 * x["r"]["word"] + 0.2 * x["r"]["legal"]
+        score = k["alpha"] * x["alpha"] + k["whole"] * (1 - x["broken"]) + k["word"] * x["r"]["word"] + k["legal"] * x["r"]["legal"]
         strategy = F.when(n < 5, "ocr").when(n < 20, F.when((x["alpha"] > 0.7) & (x["broken"] < 0.1), "text").otherwise("hybrid")).when(score >= 0.75, "text").when(score >= 0.45, "hybrid").otherwise("ocr")
         return F.struct(F.when(blank, 0.0).otherwise(score).alias("score"), F.when(blank, "ocr").otherwise(strategy).alias("strategy"))
 
@@ -108,7 +119,7 @@ def page_score(c: Column, vocabulary: list[str] | None = None) -> Column:
 def year_thresholds(year: Column) -> Column:
     """(pass, warning) by the year of the document; unknown counts as recent."""
     pair = lambda a, b: F.struct(F.lit(a).alias("pass_at"), F.lit(b).alias("warn_at"))
-    return F.when(year < 1970, pair(88.0, 83.0)).when(year < 1990, pair(91.0, 86.0)).when(year < 2010, pair(93.0, 88.0)).otherwise(pair(95.0, 90.0))
+    return F.coalesce(*[F.when(year < before, pair(a, b)) for before, a, b in YEAR_LIMITS[:-1]], pair(*YEAR_LIMITS[-1][1:]))
 
 
 def validation(c: Column, confidences: Column, year: Column, vocabulary: list[str], min_words: int = 50) -> Column:
@@ -127,9 +138,11 @@ def validation(c: Column, confidences: Column, year: Column, vocabulary: list[st
     marks = sum((F.least(F.regexp_count(c, F.lit(p)), F.lit(5)) for p in LINE_MARKS), F.lit(0))
     parts = F.struct(_bound(words, counted).alias("w"), marks.alias("marks"), confidence.alias("confidence"), year_thresholds(year).alias("limits"))
 
+    k = VALIDATION_WEIGHTS
+
     def graded(x: Column) -> Column:
         n = x["w"]["n"]
-        score = x["confidence"] * 0.45 + x["w"]["credit"] / n * 100 * 0.35 + F.least(x["w"]["terms"] / 10 * 100, F.lit(100.0)) * 0.15 + F.least(x["marks"] / 15 * 100, F.lit(100.0)) * 0.05
+        score = x["confidence"] * k["confidence"] + x["w"]["credit"] / n * 100 * k["words"] + F.least(x["w"]["terms"] / 10 * 100, F.lit(100.0)) * k["terms"] + F.least(x["marks"] / 15 * 100, F.lit(100.0)) * k["marks"]
         grade = F.when(score >= x["limits"]["pass_at"], "PASS").when(score >= x["limits"]["warn_at"], "WARNING").otherwise("FAIL")
         short = n < min_words
         return F.struct(F.when(short, "FAIL").otherwise(grade).alias("grade"), F.when(short, 0.0).otherwise(score).alias("score"), n.alias("n_words"), x["w"]["terms"].alias("terms"), x["marks"].alias("marks"))

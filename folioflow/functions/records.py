@@ -11,7 +11,9 @@ from .text import CORE_WORDS, collapse
 
 # Abbreviations and stop words.
 ABBREVIATIONS = {"dll": "dan lain-lain", "dsb": "dan sebagainya", "dst": "dan seterusnya", "no": "nomor", "tgl": "tanggal", "yg": "yang", "dgn": "dengan"}
-STOPWORDS = "yang dan di ke dari untuk pada dengan adalah ini itu dalam atau oleh sebagai tidak akan".split()
+STOPWORDS = [
+    "yang", "dan", "di", "ke", "dari", "untuk", "pada", "dengan", "adalah", "ini", "itu", "dalam", "atau", "oleh", "sebagai", "tidak", "akan",
+]
 
 
 def folder(kind: Column) -> Column:

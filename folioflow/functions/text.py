@@ -104,9 +104,13 @@ REGEX_CORRECTIONS = [
 ]
 LIGATURES = [("rn", "m"), ("cl", "d"), ("vv", "w")]
 OLD_SPELLING = [("tj", "c"), ("dj", "j"), ("nj", "ny"), ("sj", "sy"), ("ch", "kh")]
-CORE_WORDS = set(
-    "indonesia republik presiden pemerintah negara menteri gubernur bupati walikota daerah undang peraturan keputusan instruksi penetapan perpres perppu permen keppres inpres pasal ayat huruf angka bab bagian paragraf ketentuan umum penutup peralihan menimbang mengingat memutuskan menetapkan menyatakan memerintahkan mengatur melarang tentang dengan dalam untuk bahwa sebagai terhadap lembaga badan nomor tahun salinan lampiran penjelasan perubahan tuhan rahmat berkat atas adalah dapat harus wajib tidak atau dan setiap semua lain tersebut sebagaimana".split()
-)
+CORE_WORDS = {
+    "indonesia", "republik", "presiden", "pemerintah", "negara", "menteri", "gubernur", "bupati", "walikota", "daerah", "undang", "peraturan", "keputusan", "instruksi", "penetapan", "perpres",
+    "perppu", "permen", "keppres", "inpres", "pasal", "ayat", "huruf", "angka", "bab", "bagian", "paragraf", "ketentuan", "umum", "penutup", "peralihan", "menimbang", "mengingat", "memutuskan",
+    "menetapkan", "menyatakan", "memerintahkan", "mengatur", "melarang", "tentang", "dengan", "dalam", "untuk", "bahwa", "sebagai", "terhadap", "lembaga", "badan", "nomor", "tahun", "salinan",
+    "lampiran", "penjelasan", "perubahan", "tuhan", "rahmat", "berkat", "atas", "adalah", "dapat", "harus", "wajib", "tidak", "atau", "dan", "setiap", "semua", "lain", "tersebut",
+    "sebagaimana",
+}
 COMMON_ERRORS = {
     "pernerintah": "pemerintah",
     "pernbangunan": "pembangunan",
