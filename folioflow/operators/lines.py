@@ -11,7 +11,7 @@ from ..functions.text import PAGE_NOISE, any_match, header_metadata, normalize_l
 def repeated_lines(pages: DataFrame, doc: str, page: str, threshold: float = 0.6) -> DataFrame:
     """doc, line (normalised), hits: lines on at least ``threshold`` of a
     document's pages; documents of one page have none."""
-    keys = F.array_distinct(F.filter(F.transform(split_lines(F.col("text")), normalize_line), lambda x: x != ""))
+    keys = F.array_distinct(F.filter(F.transform(split_lines(F.col("text")), lambda x: normalize_line(x)), lambda x: x != ""))
     hits = pages.select(doc, page, F.explode(keys).alias("line")).groupBy(doc, "line").agg(F.count(F.lit(1)).alias("hits"))
     n = pages.groupBy(doc).agg(F.count(F.lit(1)).alias("n_pages"))
     return hits.join(n, doc).where((F.col("n_pages") > 1) & (F.col("hits") / F.col("n_pages") >= threshold)).select(doc, "line", "hits")
@@ -19,7 +19,7 @@ def repeated_lines(pages: DataFrame, doc: str, page: str, threshold: float = 0.6
 
 def repeated_ratio(pages: DataFrame, doc: str, page: str, threshold: float = 0.6) -> DataFrame:
     """doc, ratio: hits of repeated lines over all distinct lines of its pages."""
-    keys = F.array_distinct(F.filter(F.transform(split_lines(F.col("text")), normalize_line), lambda x: x != ""))
+    keys = F.array_distinct(F.filter(F.transform(split_lines(F.col("text")), lambda x: normalize_line(x)), lambda x: x != ""))
     total = pages.groupBy(doc).agg(F.sum(F.size(keys)).alias("total"))
     hits = repeated_lines(pages, doc, page, threshold).groupBy(doc).agg(F.sum("hits").alias("hits"))
     return total.join(hits, doc, "left").select(doc, F.coalesce(F.try_divide("hits", "total"), F.lit(0.0)).alias("ratio"))
@@ -55,7 +55,7 @@ def drop_frequent_lines(pages: DataFrame, doc: str, page: str, threshold: float
     """Pages without lines (trimmed) on at least ``threshold`` of the pages.  With
     ``guard`` documents of one page are left alone."""
     split = F.split("text", "\n", -1)
-    keys = F.array_distinct(F.filter(F.transform(split, F.trim), lambda x: x != ""))
+    keys = F.array_distinct(F.filter(F.transform(split, lambda x: F.trim(x)), lambda x: x != ""))
     hits = pages.select(doc, page, F.explode(keys).alias("line")).groupBy(doc, "line").agg(F.count(F.lit(1)).alias("hits"))
     n = pages.groupBy(doc).agg(F.count(F.lit(1)).alias("n_pages"))
     often = hits.join(n, doc).where((F.col("hits") / F.col("n_pages") >= threshold) & (F.lit(not guard) | (F.col("n_pages") > 1)))

@@ -3,6 +3,7 @@
 import collections
 
 from folioflow import plans
+from folioflow.operators import lines
 
 
 def write(spark, folder, name, rows, schema):
@@ -89,3 +90,13 @@ def test_histogram_of_whole_vectors(spark, tmp_path):
     d = write(spark, tmp_path, "embeddings", list(enumerate(vectors)), "vec_id int, embedding array<float>")
     got = {r["vec_id"]: (r["first_bin"], r["last_bin"]) for r in plans.QUERIES["m3_histogram"](spark, d).collect()}
     assert got == {0: (0.5, 0.5), 1: (0.375, 0)}
+
+
+def test_lines_far_down_a_page_count_too(spark):
+    """A function given to a higher-order function must not take the index for an option."""
+    body = [f"line {i} of it" for i in range(40)]
+    pages = spark.createDataFrame([("d", p, "\n".join([*body[: 20 + p], "HEAD 10203", "HEAD 1020300"])) for p in range(3)], "doc string, page int, text string")
+    found = {r["line"]: r["hits"] for r in lines.repeated_lines(pages, "doc", "page").collect()}
+    assert found["head 10203"] == found["head 1020300"] == 3 and found["line 19 of it"] == 3
+    left = [r["clean"] for r in lines.drop_frequent_lines(pages, "doc", "page").orderBy("page").collect()]
+    assert left == ["", "", "line 21 of it"]
