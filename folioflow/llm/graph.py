@@ -7,16 +7,11 @@ from pyspark.sql import functions as F
 
 from .store import materialize
 
-SALTS = 64
 
-
-def _with_least(edges: DataFrame) -> DataFrame:
-    """Edges (a, b, salt) with m, the least neighbour of a.  A hub's edges are
-    dealt over ``SALTS`` tasks, each of which gets the hub's m."""
-    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
-    parts = salted.groupBy("a", "salt").agg(F.min("b").alias("m"))
-    low = parts.select("a", "salt").join(parts.groupBy("a").agg(F.min("m").alias("m")), "a")
-    return salted.join(low, ["a", "salt"])
+def _least(edges: DataFrame) -> DataFrame:
+    """a and m, its least neighbour.  Written: as both sides of the join with the
+    edges are plain exchanges then, adaptive execution splits a hub's part of it."""
+    return materialize(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -28,8 +23,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     node that it reaches.
 
     Alternates large-star and small-star steps, which keep the components and
-    end in stars; every step is a few aggregations by node.  Each round is
-    written, so lineage stays short; a sum over the edges tells when nothing
+    end in stars; every step is a few aggregations by node.  Each step is
+    written, so lineage and plans stay short; a sum over the edges tells when nothing
     changes any more.  If that takes over ``max_rounds`` rounds, it is an error:
     partial components are never returned.  Without edges there are no rows;
     loops and repeated edges count once; edges with a null end must be left out."""
@@ -38,11 +33,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     last = _checksum(e)
     for _ in range(max_rounds):
         # large star: neighbours above a node hang on its smallest neighbour
-        both = _with_least(e.union(e.select("b", "a")))
-        large = both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
+        both = e.union(e.select("b", "a"))
+        large = both.where("b > a").join(_least(both), "a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
+        large = materialize(large, "large")
         # small star: so do those below it, and the node itself
-        below = _with_least(large)
-        small = below.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(below.select("a", F.col("m").alias("b"))).distinct()
+        low = _least(large)
+        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(low).distinct()
         e = materialize(small, "edges")
         now = _checksum(e)
         if now == last:

@@ -22,8 +22,9 @@ documents that this leaves outside of the cluster's largest component meet all
 others, block by block.  So all links between different components are found, and
 a group of near copies costs work in proportion to its size.
 
-A list that may be long is dealt over many tasks by its estimated count, as are the
-neighbours of one node in the component steps, so no task holds a whole group.
+A list that may be long is dealt over many tasks by its estimated count, and the
+neighbours of one node in the component steps by adaptive execution, so no task
+holds a whole group.
 
 Nulls: a null or empty text has an empty set and is linked with nothing; a null
 doc_id joins its component but never names it (its component_id is null if all
@@ -61,7 +62,7 @@ BLOCK = 1024
 BLOCK_SHINGLES = 1 << 19
 PIVOTS = 8
 TOKENS = 4096
-BROADCAST_ROWS = 300_000
+BROADCAST_ROWS = 100_000
 PER_BUCKET = 1_500_000
 #: Code of the estimate from which the list of a shingle is dealt over several buckets, and the bit that marks it.
 HEAVY = 8 * 16
@@ -342,7 +343,7 @@ class Join:
         """Edges (a, b): pairs that share enough prefix shingles, and a star over
         the members of every long list."""
         long = self.lists.where(F.col("size") > SHORT)
-        held = long.groupBy("fp").agg(F.count(F.lit(1)).alias("held"))
+        held = materialize(long.groupBy("fp").agg(F.count(F.lit(1)).alias("held")), "held")
         short = self.lists.where(F.col("size") <= SHORT)
         x = short.select("t", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("l").alias("la"))
         y = short.select("t", F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("l").alias("lb"))
@@ -354,10 +355,10 @@ class Join:
         # a pair that meets in long lists only shares as many of them as the smaller L of the two, and that is no less
         # than the least of the list; per list and salt, so that no task holds a whole list
         salted = long.join(held, "fp").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(STAR_SALTS)))
-        parts = salted.groupBy("t", "salt").agg(F.min("l").alias("least"), F.min("fp").alias("hub"))
-        lists = parts.groupBy("t").agg(F.min("least").alias("least"))
-        able = salted.join(parts.select("t", "salt").join(lists, "t"), ["t", "salt"]).where(F.col("held") >= F.least("l", "least"))
-        hubs = able.groupBy("t", "salt").agg(F.min("fp").alias("b"))
+        parts = materialize(salted.groupBy("t", "salt").agg(F.min("l").alias("least")), "parts")
+        least = parts.select("t", "salt").join(parts.groupBy("t").agg(F.min("least").alias("least")), "t")
+        able = materialize(salted.join(least, ["t", "salt"]).where(F.col("held") >= F.least("l", "least")).select("t", "salt", "fp"), "able")
+        hubs = materialize(able.groupBy("t", "salt").agg(F.min("fp").alias("b")), "hubs")
         stars = able.join(hubs, ["t", "salt"]).select(F.col("fp").alias("a"), "b")
         tops = hubs.join(hubs.groupBy("t").agg(F.min("b").alias("top")), "t").select(F.col("b").alias("a"), F.col("top").alias("b"))
         return near.unionByName(stars.unionByName(tops).where("a <> b").distinct())
