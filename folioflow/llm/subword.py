@@ -119,14 +119,11 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     points, _ = _points([text])
     wide = points.astype(np.uint64)
     hashes = words.hashes()
-    counts = np.bincount(_bucket(hashes), minlength=1 << BITS)
-    for lag, bucket in _MARKS.items():
-        counts[bucket] += _repeats(words, hashes, lag).sum()
-    for size in NGRAMS:
-        if len(wide) >= size:
-            counts += np.bincount(_ngram_buckets(wide, size), minlength=1 << BITS)
-    found = np.flatnonzero(counts)
-    return found.astype(np.int32), (counts[found] / (counts.sum() + REST)).astype(np.float32)
+    buckets = [_bucket(hashes)]
+    buckets += [np.full(int(_repeats(words, hashes, lag).sum()), bucket) for lag, bucket in _MARKS.items()]
+    buckets += [_ngram_buckets(wide, size) for size in NGRAMS if len(wide) >= size]
+    found, counts = np.unique(np.concatenate(buckets), return_counts=True)
+    return found.astype(np.int32), (counts / (counts.sum() + REST)).astype(np.float32)
 
 
 def fit(texts: list[str], labels: list[int], dim: int = 8, epochs: int = 5, rate: float = 0.25, seed: int = 11) -> Model:

@@ -583,6 +583,16 @@ def test_classifier_learns_and_scores(spark):
     assert subword.classified(docs.limit(0), labels).count() == 0
 
 
+def test_ranking_of_held_out_labels(spark):
+    """Area under the curve on the labelled rows that training never saw."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = subword.classified(docs, labels).where("held_out").join(labels.select("doc_id", "quality"), "doc_id").toPandas()
+    good, bad = got[got["quality"] == 1]["score"].to_numpy(), got[got["quality"] == 0]["score"].to_numpy()
+    assert len(good) > 50 and len(bad) > 5
+    assert ((good[:, None] > bad[None, :]) + 0.5 * (good[:, None] == bad[None, :])).mean() >= 0.95
+
+
 def test_score_is_the_softmax_of_the_average():
     m = subword.fit(["good words here"] * 5 + ["### bad"] * 5, [1] * 5 + [0] * 5)
     texts = ["good bad ### words words", "x", "", "ü漢 good " * 50]
