@@ -211,11 +211,11 @@ def _(s, d):
   u as (select doc_id, year, len(w) as n, greatest(0, least(100, (conf[1] + conf[2] + conf[3] + conf[4] + conf[5]) / 5 * 100 - len(list_filter(conf, lambda x: x < 0.8)) / 5 * 10)) as c, list_sum(list_transform(w, lambda x: case when x in ('the', 'of', 'and') or regexp_matches(x, '\d') then 1.0 when length(x) >= 4 then 0.7 else 0.0 end)) as credit, len(list_distinct(list_filter(w, lambda x: x in TERMS))) as terms,
     least(len(regexp_extract_all(text, '(?im)^pasal\s+\d+')), 5) + least(len(regexp_extract_all(text, '(?m)^\(\d+\)')), 5) + least(len(regexp_extract_all(text, '(?im)^[a-z]\.')), 5) + least(len(regexp_extract_all(text, '(?im)^bab\s+[ivxlcdm]+')), 5) + least(len(regexp_extract_all(text, '(?im)^bagian\s+[\p{L}\p{M}\p{N}_]+')), 5) + least(len(regexp_extract_all(text, '(?im)^ayat\s+\(\d+\)')), 5) as marks from t),
   v as (select *, c * 0.45 + credit / n * 100 * 0.35 + least(terms / 10 * 100, 100) * 0.15 + least(marks / 15 * 100, 100) * 0.05 as score, case when year < 1970 then 88 when year < 1990 then 91 when year < 2010 then 93 else 95 end as pass_at from u)
-  select doc_id, case when n < 50 then 'FAIL' when score >= pass_at then 'PASS' when score >= pass_at - 5 then 'WARNING' else 'FAIL' end as grade, case when n < 50 then 0.0 else round(score, 6) end::double as score, n::int as n_words, terms::int as terms, marks::int as marks from v""".replace("TERMS", _TERMS_SQL))
+  select doc_id, case when n < 50 then 'FAIL' when score >= pass_at then 'PASS' when score >= pass_at - 5 then 'WARNING' else 'FAIL' end as grade, case when n < 50 then 0.0 else round(score, 9) end::double as score, n::int as n_words, terms::int as terms, marks::int as marks from v""".replace("TERMS", _TERMS_SQL))
 def _(s, d):
     conf = F.transform(F.sequence(F.lit(1), F.lit(5)), lambda i: (F.pmod(F.col("doc_id") * i, F.lit(100)) / 100.0).cast("double"))
     v = quality.validation(F.col("text"), conf, (F.lit(1950) + F.col("doc_id") % 80).cast("int"), ["the", "of", "and"])
-    return _docs(s, d).select("doc_id", v.alias("v")).select("doc_id", "v.*").withColumn("score", F.round("score", 6))
+    return _docs(s, d).select("doc_id", v.alias("v")).select("doc_id", "v.*").withColumn("score", F.round("score", 9))
 
 
 @query("q11_year_thresholds", "select y, case when y < 1970 then 88.0 when y < 1990 then 91.0 when y < 2010 then 93.0 else 95.0 end::double as pass_at, case when y < 1970 then 83.0 when y < 1990 then 86.0 when y < 2010 then 88.0 else 90.0 end::double as warn_at from (select unnest(generate_series(1950, 2030))::int as y)")
