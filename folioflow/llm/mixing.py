@@ -163,13 +163,16 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
 def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
     """One row for each slot: slot, sid and the block it takes, its rank among
     the slots of its source."""
-    bounds = sources.where("hi > lo").select("sid", "lo", "hi", digits(F.col("lo")).alias("below_lo"), digits(F.col("hi")).alias("below_hi"))
+    reached = lambda bound: F.filter(digits(F.col(bound)), lambda d: d["r"] < n_slots)
+    # intervals whose first slot lies beyond the schedule count for none of its slots
+    bounds = sources.where("hi > lo").select("sid", "lo", "hi", reached("lo").alias("below_lo"), reached("hi").alias("below_hi"))
     cell_bits = max(6, (4 * sources.count()).bit_length())
     cell = lambda x: F.shiftright(x, POINT_BITS - cell_bits)
     # a source is listed in each cell of the unit interval that its own interval meets: points find it by equality
     cut = bounds.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))))
     cut = F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut
-    points = sources.sparkSession.range(n_slots).select(F.col("id").alias("slot"), point(F.col("id")).alias("v"))
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = sources.sparkSession.range(0, n_slots, 1, tasks).select(F.col("id").alias("slot"), point(F.col("id")).alias("v"))
     hit = points.withColumn("cell", cell(F.col("v"))).join(cut, "cell").where("v >= lo and v < hi")
     return hit.select("slot", "sid", (points_below(F.col("slot"), F.col("below_hi")) - points_below(F.col("slot"), F.col("below_lo"))).alias("block"))
 
