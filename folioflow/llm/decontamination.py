@@ -39,6 +39,7 @@ SHINGLE = 5
 RADIUS = 14
 WIDTHS = (22, 21, 21)
 FLIPS = 2
+VALUE_BITS = max(WIDTHS)
 BROADCAST_ROWS = 1_000_000
 
 
@@ -158,12 +159,18 @@ def _leaks(docs: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
     masks = materialize(flips(docs.sparkSession), "flips")
     windows = _simhash(bags, place).withColumnRenamed("simhash", "own_print").withColumn("simhash", F.col("own_print"))
     asked = _simhash(item_bags, ["item", "m"]).withColumnRenamed("total", "item_total").withColumn("item_print", F.col("simhash"))
-    x = flipped(windows, masks, "own_mask").drop("simhash")
-    y = flipped(asked, masks, "item_mask").drop("simhash")
-    y = F.broadcast(y) if item_bags.select("item", "m").distinct().count() * sum(1 + w + w * (w - 1) // 2 for w in WIDTHS) <= BROADCAST_ROWS else y
+    # one number to meet by, and of the items no more than meets: the table is built in the driver before it is sent
+    bits = lambda c, n: F.shiftleft(F.col(c).cast("long"), n)
+    spot = bits("m", VALUE_BITS + 2).bitwiseOR(bits("block", VALUE_BITS)).bitwiseOR(F.col("value")).alias("spot")
+    x = flipped(windows, masks, "own_mask").select(*place, "total", "own_print", "own_mask", spot)
+    y = flipped(asked.select("m", "simhash", "item_print").distinct(), masks, "item_mask").select("item_print", "item_mask", spot)
+    n_items = item_bags.select("item", "m").distinct().count()
+    y = F.broadcast(y) if n_items * sum(1 + w + w * (w - 1) // 2 for w in WIDTHS) <= BROADCAST_ROWS else y
     distance = F.bit_count(F.col("own_print").bitwiseXOR(F.col("item_print"))).alias("distance")
-    met = x.join(y, ["m", "block", "value"]).where(once(F.col("own_mask"), F.col("item_mask")))
-    candidates = met.select(*place, "item", "total", "item_total", distance).where(F.col("distance") <= RADIUS).distinct()
+    met = x.join(y, "spot").where(once(F.col("own_mask"), F.col("item_mask")))
+    near = met.select(*place, "total", "item_print", distance).where(F.col("distance") <= RADIUS).distinct()
+    named = asked.select("m", "item_print", "item", "item_total")
+    candidates = near.join(F.broadcast(named) if n_items <= BROADCAST_ROWS else named, ["m", "item_print"])
 
     shared = (
         candidates.join(bags.select("doc_id", *place, "h", F.col("weight").alias("own")), place)

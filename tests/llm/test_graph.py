@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from folioflow.llm import graph, store
+from folioflow.llm import decontamination, graph, store
 
 
 def brute(edges):
@@ -54,3 +54,16 @@ def test_few_edges_take_few_jobs(spark):
     assert {r["root"] for r in found.collect()} == {min(ids)} and found.count() == n
     assert len(jobs) <= 8
     store.release()
+
+
+def test_table_of_flipped_items_is_narrow(spark, monkeypatch):
+    """It has hundreds of rows an item and is built in the driver: no more columns than items are met by."""
+    sent = []
+    broadcast = decontamination.F.broadcast
+    monkeypatch.setattr(decontamination.F, "broadcast", lambda df: sent.append(df.columns) or broadcast(df))
+    passage = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"some words {passage} and more"), (2, "other words than these are here")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, passage), (8, passage)], "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, items).collect()} == {(1, 7), (1, 8)}
+    assert [c for c in sent if "item_mask" in c] == [["item_print", "item_mask", "spot"]]
+    store.release()
