@@ -9,7 +9,10 @@ Multi-index blocks find all of these: a fingerprint is cut into ``WIDTHS`` block
 and with at most ``RADIUS`` differing bits some block has at most ``2 * FLIPS`` of
 them, so that it agrees after up to ``FLIPS`` flips on either side.  Each pair meets
 once per such block (the window flips the lower half of the differing bits); chance
-lets 0.9 % of unrelated pairs meet, and the radius 5 in a million.  Candidates are
+lets 0.9 % of unrelated pairs meet, and the radius 5 in a million.  For up to
+``FEW_ITEMS`` items, blocks are narrower and one flip on either side finds all: more
+pairs meet by chance (6.4 %), but a window or item has 69 rows in place of 718, and
+the table of flipped items, which the driver builds, is as much smaller.  Candidates are
 verified exactly: a shingle weighs what it occurs, and the sum of minima over the
 sum of maxima must reach the threshold.  (Weights by rarity among the items would
 let the odd words of one item outvote the many that its variants share.)
@@ -39,8 +42,15 @@ SHINGLE = 5
 RADIUS = 14
 WIDTHS = (22, 21, 21)
 FLIPS = 2
+#: The same for few items: beyond about 12,000 what meets by chance would cost more than the flips that are saved.
+FEW_ITEMS = 10_000
+FEW_WIDTHS = (13, 13, 13, 13, 12)
+FEW_FLIPS = 1
 VALUE_BITS = max(WIDTHS)
+BLOCK_BITS = 3
 BROADCAST_ROWS = 1_000_000
+#: Of flipped items, about 20 MB.
+BROADCAST_FLIPPED = 150_000
 
 
 def _word_hashes(text: Column) -> Column:
@@ -78,23 +88,29 @@ def _simhash(shingles: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, value.alias("simhash"), "total")
 
 
-def flips(spark: SparkSession) -> DataFrame:
-    """block and mask: each set of up to two bits of each block, a few hundred rows."""
-    most = max(WIDTHS) + 1  # the last number stands for no bit
+def flips(spark: SparkSession, widths: tuple[int, ...] = WIDTHS, up_to: int = FLIPS) -> DataFrame:
+    """block and mask: each set of up to ``up_to`` bits (one or two) of each block, a few hundred rows."""
+    most = max(widths) + 1  # the last number stands for no bit
     block, low, high = F.floor(F.col("id") / most**2).cast("int"), F.floor(F.col("id") / most) % most, F.col("id") % most
-    pairs = spark.range(len(WIDTHS) * most**2).select(block.alias("block"), low.cast("int").alias("low"), high.cast("int").alias("high"))
-    width = F.element_at(F.array(*[F.lit(w) for w in WIDTHS]), F.col("block") + 1)
+    pairs = spark.range(len(widths) * most**2).select(block.alias("block"), low.cast("int").alias("low"), high.cast("int").alias("high"))
+    width = F.element_at(F.array(*[F.lit(w) for w in widths]), F.col("block") + 1)
     none = F.lit(most - 1)
     pairs = pairs.where(((F.col("low") < width) & ((F.col("high") == none) | (F.col("high") < width) & (F.col("low") < F.col("high")))) | ((F.col("low") == none) & (F.col("high") == none)))
+    pairs = pairs if up_to > 1 else pairs.where(F.col("high") == none)
     bit = lambda c: F.when(F.col(c) == none, F.lit(0).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.col(c)))
     return pairs.select("block", bit("low").bitwiseOR(bit("high")).alias("mask"))
 
 
-def flipped(prints: DataFrame, masks: DataFrame, name: str) -> DataFrame:
+def rows_flipped(widths: tuple[int, ...], up_to: int) -> int:
+    """Rows that ``flipped`` makes of one."""
+    return sum(1 + w + (up_to > 1) * w * (w - 1) // 2 for w in widths)
+
+
+def flipped(prints: DataFrame, masks: DataFrame, name: str, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """Each row of ``prints`` for each block of its simhash and each flip of it:
     block, value and, under ``name``, the mask."""
-    cuts = [sum(WIDTHS[:j]) for j in range(len(WIDTHS))]
-    own = [F.struct(F.lit(j).alias("block"), F.call_function("shiftrightunsigned", F.col("simhash"), F.lit(a)).bitwiseAND(F.lit((1 << w) - 1)).alias("value")) for j, (a, w) in enumerate(zip(cuts, WIDTHS, strict=True))]
+    cuts = [sum(widths[:j]) for j in range(len(widths))]
+    own = [F.struct(F.lit(j).alias("block"), F.call_function("shiftrightunsigned", F.col("simhash"), F.lit(a)).bitwiseAND(F.lit((1 << w) - 1)).alias("value")) for j, (a, w) in enumerate(zip(cuts, widths, strict=True))]
     cut = prints.select("*", F.inline(F.array(*own)))
     return cut.join(F.broadcast(masks), "block").withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).withColumnRenamed("mask", name)
 
@@ -156,16 +172,18 @@ def _leaks(docs: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
     bags = materialize(bags, "bags")
     item_bags = materialize(grams.groupBy("item_id", "item", "m", "h").agg(F.count(F.lit(1)).alias("weight")), "bags")
 
-    masks = materialize(flips(docs.sparkSession), "flips")
-    windows = _simhash(bags, place).withColumnRenamed("simhash", "own_print").withColumn("simhash", F.col("own_print"))
-    asked = _simhash(item_bags, ["item", "m"]).withColumnRenamed("total", "item_total").withColumn("item_print", F.col("simhash"))
+    # written: with 64 sums each they are the largest part of the plan, and adaptive execution plans it again after every stage
+    windows = materialize(_simhash(bags, place).withColumnRenamed("simhash", "own_print"), "prints").withColumn("simhash", F.col("own_print"))
+    asked = materialize(_simhash(item_bags, ["item", "m"]).withColumnRenamed("total", "item_total"), "asked").withColumn("item_print", F.col("simhash"))
+    n_items = asked.count()
+    widths, up_to = (FEW_WIDTHS, FEW_FLIPS) if n_items <= FEW_ITEMS else (WIDTHS, FLIPS)
+    masks = materialize(flips(docs.sparkSession, widths, up_to), "flips")
     # one number to meet by, and of the items no more than meets: the table is built in the driver before it is sent
     bits = lambda c, n: F.shiftleft(F.col(c).cast("long"), n)
-    spot = bits("m", VALUE_BITS + 2).bitwiseOR(bits("block", VALUE_BITS)).bitwiseOR(F.col("value")).alias("spot")
-    x = flipped(windows, masks, "own_mask").select(*place, "total", "own_print", "own_mask", spot)
-    y = flipped(asked.select("m", "simhash", "item_print").distinct(), masks, "item_mask").select("item_print", "item_mask", spot)
-    n_items = item_bags.select("item", "m").distinct().count()
-    y = F.broadcast(y) if n_items * sum(1 + w + w * (w - 1) // 2 for w in WIDTHS) <= BROADCAST_ROWS else y
+    spot = bits("m", VALUE_BITS + BLOCK_BITS).bitwiseOR(bits("block", VALUE_BITS)).bitwiseOR(F.col("value")).alias("spot")
+    x = flipped(windows, masks, "own_mask", widths).select(*place, "total", "own_print", "own_mask", spot)
+    y = flipped(asked.select("m", "simhash", "item_print").distinct(), masks, "item_mask", widths).select("item_print", "item_mask", spot)
+    y = F.broadcast(y) if n_items * rows_flipped(widths, up_to) <= min(BROADCAST_ROWS, BROADCAST_FLIPPED) else y
     distance = F.bit_count(F.col("own_print").bitwiseXOR(F.col("item_print"))).alias("distance")
     met = x.join(y, "spot").where(once(F.col("own_mask"), F.col("item_mask")))
     near = met.select(*place, "total", "item_print", distance).where(F.col("distance") <= RADIUS).distinct()

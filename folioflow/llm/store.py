@@ -13,10 +13,13 @@ needed on the way; all else goes with ``release()``.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,6 +66,15 @@ def ship(spark: SparkSession, value: object) -> Broadcast:
     return _shipped[-1]
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system.  The C allocator keeps
+    what lies between blocks that are still in use; other allocators than glibc's
+    have no such call."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     if spark.sparkContext._jsc is None:  # stopped
         return

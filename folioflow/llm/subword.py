@@ -6,7 +6,8 @@ of the vectors of all its features (and of ``REST`` zero vectors, so that a text
 of a few characters stays near the prior), and a softmax over that average gives
 the class.  Vectors and output weights are trained together by stochastic
 gradient descent in numpy, on the driver, over a bounded sample of labelled
-rows (``max_rows`` and ``max_bytes``).
+rows (``max_rows`` and ``max_bytes``).  A sampled text has about two distinct
+features a byte; they are kept compressed until its step, one text at a time.
 
 Scoring uses the model's own linearity: with two classes the average only enters
 through its product with the difference of the two output vectors, so each
@@ -29,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import bounded_batches
+from .sketch import pack, unpack
+from .store import bounded_batches, give_back
 from .words import Words, mix, text_batches
 
 BITS = 18
@@ -111,21 +113,41 @@ class Model:
         return np.round(1 / (1 + np.exp(-z)), 9)
 
 
-def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and their shares of all its features."""
+def _counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text, rising, and how often each comes."""
     words = Words(pa.array([text]))
     if not len(words.starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.float32)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     points, _ = _points([text])
     wide = points.astype(np.uint64)
     hashes = words.hashes()
     buckets = [_bucket(hashes)]
     buckets += [np.full(int(_repeats(words, hashes, lag).sum()), bucket) for lag, bucket in _MARKS.items()]
     buckets += [_ngram_buckets(wide, size) for size in NGRAMS if len(wide) >= size]
-    found, counts = np.unique(np.concatenate(buckets), return_counts=True)
+    return np.unique(np.concatenate(buckets), return_counts=True)
+
+
+def _shares(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found.astype(np.int32), (counts / (counts.sum() + REST)).astype(np.float32)
 
 
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text and their shares of all its features."""
+    return _shares(*_counted(text))
+
+
+def packed(text: str) -> tuple[int, bytes]:
+    """Number and compressed gaps and counts of a text's distinct buckets."""
+    found, counts = _counted(text)
+    return len(found), pack(np.concatenate([np.diff(found, prepend=0), counts]).astype(np.uint32))
+
+
+def unpacked(n: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """What ``features`` gives."""
+    gaps, counts = unpack(data, np.uint32, 2 * n).astype(np.int64).reshape(2, n)
+    return _shares(np.cumsum(gaps), counts)
+
+
 def fit(texts: list[str], labels: list[int], dim: int = 8, epochs: int = 5, rate: float = 0.25, seed: int = 11) -> Model:
     """Train vectors and softmax by stochastic gradient descent.
 
@@ -136,11 +158,12 @@ def fit(texts: list[str], labels: list[int], dim: int = 8, epochs: int = 5, rate
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (1 << BITS, dim)).astype(np.float32)
     out, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
-    rows = [(features(t), y) for t, y in zip(texts, labels, strict=True)]
+    rows = [(packed(t), y) for t, y in zip(texts, labels, strict=True)]
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            (found, share), y = rows[i]
+            found, share = unpacked(*rows[i][0])
+            y = rows[i][1]
             lr = rate * (1 - done / steps)
             done += 1
             hidden = share @ vectors[found] if len(found) else np.zeros(dim, np.float32)
@@ -170,8 +193,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_bytes: i
     picked = picked[picked["bytes"].cumsum() <= max_bytes].drop_duplicates("doc_id")
     spark = docs.sparkSession
     ids = spark.createDataFrame(picked[["doc_id", "quality"]], "doc_id long, quality int")
-    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    return fit(rows["text"].tolist(), rows["quality"].astype(int).tolist())
+    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    model = fit(rows.column("text").to_pylist(), rows.column("quality").to_pylist())
+    del rows
+    give_back()
+    return model
 
 
 def scorer(model: Model):
